@@ -67,9 +67,8 @@ def _derived(spark, sf_dir):
 
 def _cleaned(spark, sf_dir):
     """What the Silver table holds: first copies that pass the gate."""
-    return quality.silver_gate().flag(silver.drop_replays(_derived(spark, sf_dir))).filter(
-        quality.PASS_FLAG
-    )
+    kept = silver.drop_replays(_derived(spark, sf_dir))
+    return kept.filter(quality.passes(quality.silver_rules(kept.columns)))
 
 
 def _entity(spark, sf_dir, window):
@@ -559,7 +558,7 @@ def replay_from_date(spark, sf_dir):
     warehouse.append(_stored(spark, sf_dir), SILVER_TABLE, "first", rebalance=True)
     stale = gold.entity_metrics(warehouse.read(SILVER_TABLE), "1 day", exact_distinct=True)
     warehouse.append(stale.withColumn("risk_score", F.lit(-1)), GOLD_ENTITY_TABLE, "stale")
-    recovery.replay_gold(warehouse, REPLAY_FROM, window="1 day", exact_distinct=True)
+    recovery.replay_gold(warehouse, REPLAY_FROM, families=("entity",), window="1 day", exact_distinct=True)
     return warehouse.read(GOLD_ENTITY_TABLE).select(
         "window_start", "entity", "wiki", "total_events", "unique_editors", "risk_score"
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revwatch.functions.text import iso_timestamp
+from revwatch.functions.text import JSON_SPACES, iso_timestamp
 from revwatch.operators.matching import match_entity
 from revwatch.sources.allowlist import Needle
 
@@ -27,17 +27,23 @@ NOT_AN_OBJECT = "Record is not a JSON object"
 TITLE_NOT_TEXT = "Title is not a text"
 
 
-def _json_type(path: str) -> Column:
-    return F.expr(f"schema_of_variant(variant_get(_json, '{path}', 'variant'))")
+def _is_object() -> Column:
+    """Does text that is known to be JSON hold an object? Cheaper than its schema."""
+    return F.startswith(F.btrim("value", F.lit(JSON_SPACES)), F.lit("{"))
+
+
+def _member(key: str) -> Column:
+    """A member of the record as it came: null if absent, a JSON null if null."""
+    return F.variant_get("_json", f"$.{key}", "variant")
 
 
 def _has_key(key: str) -> Column:
     """Present, even with a null value."""
-    return F.expr(f"variant_get(_json, '$.{key}', 'variant') IS NOT NULL")
+    return _member(key).isNotNull()
 
 
-def _text_at(path: str) -> Column:
-    return F.expr(f"try_variant_get(_json, '{path}', 'string')")
+def _as_text(member: str) -> Column:
+    return F.try_variant_get(member, "$", "string")
 
 
 def _enriched(now: Column) -> Column:
@@ -58,7 +64,7 @@ def _enriched(now: Column) -> Column:
         "to_json(map_filter(from_json(value, 'map<string,variant>'), (k, v) -> k <> '_metadata'))"
     )
     kept = F.when(_has_key("_metadata"), rebuilt).otherwise(
-        F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
+        F.btrim("value", F.lit(JSON_SPACES))
     )
     opened = F.substring(kept, F.lit(1), F.length(kept) - 1)
     return F.concat(opened, F.lit(',"_metadata":'), metadata, F.lit("}"))
@@ -77,14 +83,19 @@ def route_events(
     same call serves a stream and a batch.
     """
     clock = F.current_timestamp() if now is None else now
-    parsed = records.withColumn("_json", F.try_parse_json("value")).withColumns(
-        {
-            "_is_object": F.expr("schema_of_variant(_json)").startswith("OBJECT"),
-            "_complete": _has_key("title") & _has_key("wiki"),
-            "_title_is_text": F.coalesce(_json_type("$.title") == "STRING", F.lit(False)),
-            "title": _text_at("$.title"),
-            "wiki": _text_at("$.wiki"),
-        }
+    parsed = (
+        records.withColumn("_json", F.try_parse_json("value"))
+        .withColumns({"_title": _member("title"), "_wiki": _member("wiki")})
+        .withColumns(
+            {
+                "_is_object": _is_object(),
+                "_complete": F.col("_title").isNotNull() & F.col("_wiki").isNotNull(),
+                "_title_is_text": F.coalesce(F.schema_of_variant("_title") == "STRING", F.lit(False)),
+                "title": _as_text("_title"),
+                "wiki": _as_text("_wiki"),
+            }
+        )
+        .drop("_title", "_wiki")
     )
     matched = match_entity(parsed, allowlist, strategy=match_strategy)
     error = (
@@ -175,7 +186,7 @@ def unfiltered_records(records: DataFrame, now: Column | None = None) -> DataFra
         "to_json(map_filter(from_json(value, 'map<string,variant>'),"
         " (k, v) -> k <> '_ingestion_timestamp'))"
     )
-    trimmed = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
+    trimmed = F.btrim("value", F.lit(JSON_SPACES))
     body = F.when(_has_key("_ingestion_timestamp"), rebuilt).otherwise(trimmed)
     opened = F.substring(body, F.lit(1), F.length(body) - 1)
     empty = F.regexp_replace(opened, r"\s", "") == "{"
@@ -184,12 +195,12 @@ def unfiltered_records(records: DataFrame, now: Column | None = None) -> DataFra
     )
     return (
         records.withColumn("_json", F.try_parse_json("value"))
-        .filter(F.expr("schema_of_variant(_json)").startswith("OBJECT"))
+        .filter(F.col("_json").isNotNull() & _is_object())
+        .withColumn("_id", _member("id"))
         .select(
             F.lit(RAW_TOPIC).alias("topic"),
             F.coalesce(
-                F.when(_has_key("id") & _text_at("$.id").isNull(), "None").otherwise(_text_at("$.id")),
-                F.lit(""),
+                F.when(F.is_variant_null("_id"), "None").otherwise(_as_text("_id")), F.lit("")
             ).alias("key"),
             stamped.alias("value"),
         )

@@ -77,25 +77,38 @@ def is_monitored(canonical: Column) -> Column:
 def _match_by_broadcast(
     df: DataFrame, allowlist: Sequence[Needle], title: str, wiki: str, output: str
 ) -> DataFrame:
-    needles = F.struct("kind", "position", "needle", "raw", "canonical")
-    per_wiki = (
-        allowlist_frame(df.sparkSession, allowlist)
-        .groupBy(F.col("wiki").alias("_needle_wiki"))
-        .agg(F.array_sort(F.collect_list(needles)).alias("_needles"))
+    by_wiki: dict[str, tuple[list, list]] = {}
+    for n in sorted(allowlist, key=lambda n: (n.kind, n.position)):
+        raws, canonicals = by_wiki.setdefault(n.wiki, ([], []))
+        raws.append(n.raw)
+        canonicals.append(n.canonical)
+    listed = df.sparkSession.createDataFrame(
+        [(name, *lists) for name, lists in by_wiki.items()],
+        "_needle_wiki STRING, _raws ARRAY<STRING>, _canonicals ARRAY<STRING>",
+    )
+    per_wiki = listed.withColumn("_needles", F.transform("_raws", normalize_title)).withColumn(
+        "_haystack", F.array_join("_needles", "\n")
     )
     name = F.col("_title")
 
-    def first(test) -> Column:
-        # Needles are sorted by (kind, position), so the first hit is the best.
-        return F.get(F.filter("_needles", test), F.lit(0))["canonical"]
+    def canonical_at(place: Column) -> Column:
+        return F.get("_canonicals", (place - 1).cast("int"))
+
+    def first(hits: Column) -> Column:
+        # Titles come before aliases, each in list order, so the first hit is the best.
+        return canonical_at(F.array_position(hits, F.lit(True)))
 
-    exact = first(lambda n: n["raw"] == F.col(title))
-    flexible = first(lambda n: contains_either_way(name, n["needle"]))
+    exact = canonical_at(F.array_position("_raws", F.col(title)))
+    # A title inside one needle is inside all of them put together; few are, and
+    # only for those both directions have to be tried needle by needle.
+    both = F.transform("_needles", lambda n: contains_either_way(name, n))
+    forward = F.transform("_needles", lambda n: F.contains(name, n))
+    flexible = first(F.when(F.contains("_haystack", name), both).otherwise(forward))
     return (
         df.withColumn("_title", normalize_title(F.col(title)))
         .join(F.broadcast(per_wiki), F.col(wiki) == F.col("_needle_wiki"), "left")
         .withColumn(output, F.coalesce(exact, flexible))
-        .drop("_title", "_needle_wiki", "_needles")
+        .drop("_title", "_needle_wiki", "_raws", "_canonicals", "_needles", "_haystack")
     )
 
 

@@ -24,7 +24,7 @@ def column_profile(
     columns: Sequence[str] | None = None,
     exact_distinct: bool = False,
     quantiles: Sequence[float] = QUANTILES,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
 ) -> DataFrame:
     """One row per column: type, counts, distinct values, range, moments, quantiles.
 

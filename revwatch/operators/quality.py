@@ -202,14 +202,28 @@ def gold_rules(columns: Sequence[str]) -> list[Rule]:
     return [("range:total_events", F.col("total_events") >= 0), *_present(*named)]
 
 
+def passes(rules: Sequence[Rule]) -> Column:
+    """All rules hold. Null where one is unknown, so use it to filter: each rule is
+    then a conjunct of its own that Spark can push towards the scan."""
+    result = F.lit(True)
+    for _, condition in rules:
+        result = result & condition
+    return result
+
+
 def flag_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the pass flag and the names of the rules a row fails.
 
-    A rule whose outcome is unknown fails.
+    A rule whose outcome is unknown fails. The flag does not depend on the
+    names, so they are only computed where somebody reads them.
     """
-    met = [(name, F.coalesce(condition, F.lit(False))) for name, condition in rules]
-    failed = F.array_compact(F.array(*(F.when(~ok, F.lit(name)) for name, ok in met)))
-    return df.withColumn(REASONS, failed).withColumn(PASS_FLAG, F.size(REASONS) == 0)
+    unmet = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules]
+    return df.withColumns(
+        {
+            REASONS: F.array_compact(F.array(*unmet)),
+            PASS_FLAG: F.coalesce(passes(rules), F.lit(False)),
+        }
+    )
 
 
 def silver_helper_flags(df: DataFrame, now: Column | None = None) -> DataFrame:

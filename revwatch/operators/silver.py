@@ -103,17 +103,17 @@ def _lineage_columns(df: DataFrame) -> list[str]:
     return [name for name in known if name in df.columns]
 
 
-def _replay_key(df: DataFrame) -> Column:
-    """``meta_id``, or where a row without one came from.
+def _origin(df: DataFrame) -> Column:
+    """Where a row without ``meta_id`` came from; null for rows that have one.
 
-    Rows without an id are not copies of each other; keyed by queue coordinates
-    and text (backfilled rows share their coordinates) each reaches the gate.
+    Rows without an id are not copies of each other; told apart by queue
+    coordinates and text (backfilled rows share their coordinates) each of them
+    reaches the quality gate.
     """
-    origin = [F.col(name) for name in _lineage_columns(df)]
+    parts = [F.col(name) for name in _lineage_columns(df)]
     if "event_data" in df.columns:
-        origin.append(F.sha2("event_data", 256).alias("text"))
-    place = F.concat(F.lit("\u0000"), F.to_json(F.struct(*origin)))
-    return F.coalesce(F.col("meta_id"), place)
+        parts.append(F.sha2("event_data", 256).alias("text"))
+    return F.when(F.col("meta_id").isNull(), F.to_json(F.struct(*parts)))
 
 
 def drop_replays(events: DataFrame, within: str | None = None) -> DataFrame:
@@ -126,15 +126,16 @@ def drop_replays(events: DataFrame, within: str | None = None) -> DataFrame:
     the shuffle, so each map task sends at most one row per id and a much
     repeated id does not gather in one reducer.
     """
-    keyed = events.withColumn("_replay_key", _replay_key(events))
+    keyed = events.withColumn("_origin", _origin(events))
+    key = ["meta_id", "_origin"]
     if events.isStreaming:
         if within is not None:
             keyed = keyed.withWatermark("ingestion_timestamp", within)
-        return keyed.dropDuplicatesWithinWatermark(["_replay_key"]).drop("_replay_key")
+        return keyed.dropDuplicatesWithinWatermark(key).drop("_origin")
     arrival = map(F.col, ["ingestion_timestamp", *_lineage_columns(events)])
-    first = Window.partitionBy("_replay_key").orderBy(*arrival)
+    first = Window.partitionBy(*key).orderBy(*arrival)
     ranked = keyed.withColumn("_rank", F.row_number().over(first))
-    return ranked.filter("_rank = 1").drop("_rank", "_replay_key")
+    return ranked.filter("_rank = 1").drop("_rank", "_origin")
 
 
 def bronze_to_silver(bronze: DataFrame) -> DataFrame:

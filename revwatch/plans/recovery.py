@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -75,14 +75,21 @@ def replay_silver(
     return result.metrics
 
 
-def replay_gold(warehouse: Warehouse, from_date: date, **options) -> None:
-    """Compute all metric tables again from stored Silver, from a date on.
+def replay_gold(
+    warehouse: Warehouse,
+    from_date: date,
+    families: Sequence[str] = ("entity", "user", "global"),
+    **options,
+) -> None:
+    """Compute the metric tables again from stored Silver, from a date on.
 
     Windows do not cross midnight as long as their length divides a day, so a
     date of Silver rows yields complete windows.
     """
     silver = warehouse.read(SILVER_TABLE).filter(F.col("event_date") >= F.lit(from_date))
     for name, table, build in GOLD_FAMILIES:
+        if name not in families:
+            continue
         warehouse.replace_from(build(silver, **options), table, run_id(f"replay_{name}"), from_date)
 
 

@@ -14,7 +14,7 @@ from datetime import date, datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from revwatch.schemas import COMMITS, TABLES
 
@@ -31,7 +31,7 @@ def utc_now() -> datetime:
 
 
 def _with_batch(schema: StructType) -> StructType:
-    return StructType(schema.fields).add("batch_id", "string")
+    return StructType([*schema.fields, StructField("batch_id", StringType())])
 
 
 class Warehouse:
