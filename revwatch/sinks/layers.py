@@ -57,14 +57,13 @@ def record_metrics(warehouse: Warehouse, result: GateResult) -> None:
         now,
         now.date(),
     )
-    per_day = ("layer", "event_date")
     metrics = warehouse.spark.createDataFrame([row], QUALITY_METRICS).coalesce(1)
-    warehouse.append(metrics, "quality_metrics", m["batch_id"], per_day)
+    warehouse.append(metrics, "quality_metrics", m["batch_id"])
     alert = result.alert()
     if alert is not None:
         line = (*(alert[name] for name in ALERTS.fieldNames()[:-2]), now, now.date())
         alerts = warehouse.spark.createDataFrame([line], ALERTS).coalesce(1)
-        warehouse.append(alerts, "alerts", m["batch_id"], per_day)
+        warehouse.append(alerts, "alerts", m["batch_id"])
 
 
 def write_batch(

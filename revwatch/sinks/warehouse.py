@@ -19,6 +19,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from revwatch.schemas import COMMITS, TABLES
 
 APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
+
+#: Partition columns in front of ``batch_id``; all other tables have ``event_date``.
+PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date")}
 COMMIT_LOG = "commits"
 
 
@@ -44,6 +47,22 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def create_tables(self) -> None:
+        """Make the folders of all layer tables, so that streams can follow them."""
+        for table, schema in TABLES.items():
+            if self.exists(table):
+                check_schema(table, self._stored_columns(table))
+            else:
+                keys = PARTITIONS.get(table, ("event_date",))
+                empty = self.spark.createDataFrame([], _with_batch(schema))
+                empty.write.partitionBy(*keys, "batch_id").parquet(self.path(table))
+
+    def _stored_columns(self, table: str) -> list[str]:
+        try:
+            return self.spark.read.parquet(self.path(table)).columns
+        except AnalysisException:  # no file yet
+            return []
+
     # Writing.
 
     def append(
@@ -51,7 +70,7 @@ class Warehouse:
         df: DataFrame,
         table: str,
         batch_id: str,
-        partition_by: Sequence[str] = ("event_date",),
+        partition_by: Sequence[str] | None = None,
         rebalance: bool = False,
         row_count: int | None = None,
     ) -> None:
@@ -69,7 +88,7 @@ class Warehouse:
         table: str,
         batch_id: str,
         from_date: date,
-        partition_by: Sequence[str] = ("event_date",),
+        partition_by: Sequence[str] | None = None,
     ) -> None:
         """Put ``df`` in the place of all rows from ``from_date`` on.
 
@@ -86,6 +105,7 @@ class Warehouse:
 
     def _store(self, df, table, batch_id, partition_by, rebalance) -> None:
         schema = TABLES.get(table)
+        partition_by = partition_by or PARTITIONS.get(table, ("event_date",))
         if schema is not None:
             missing = [name for name in schema.fieldNames() if name not in df.columns]
             if missing:
@@ -134,30 +154,42 @@ class Warehouse:
     def visible_batches(self, table: str, as_of: datetime | None = None) -> DataFrame:
         """``(batch_id, before_date)`` of the batches a reader may see.
 
-        Walking the log from its end, a rollback hides the batches committed
-        after the moment it restores, and a replacement hides the rows from its
-        date on of all earlier batches; ``before_date`` is null where nothing is
-        hidden. One row per batch, so this is small beside the data.
+        A replacement hides the rows from its date on of all earlier batches;
+        ``before_date`` is null where nothing is hidden. One row per batch, so
+        this is small beside the data.
         """
         log = self.commits(table)
         if as_of is not None:
             log = log.filter(F.col("committed_at") <= F.lit(as_of))
+        for after, until in self._undone(log):
+            undone = (F.col("committed_at") > F.lit(after)) & (F.col("committed_at") <= F.lit(until))
+            log = log.filter(~undone)
         later = (
             Window.partitionBy("table_name")
             .orderBy(F.desc("committed_at"))
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        rolled = F.when(F.col("action") == ROLLBACK, F.col("restored_to"))
-        alive = (
-            log.withColumn("_back_to", F.min(rolled).over(later))
-            .filter((F.col("action") != ROLLBACK))
-            .filter(F.col("_back_to").isNull() | (F.col("committed_at") <= F.col("_back_to")))
-        )
         replaced = F.when(F.col("action") == REPLACE, F.col("from_date"))
-        return alive.withColumn("before_date", F.min(replaced).over(later)).select(
-            "batch_id", "before_date"
+        return (
+            log.filter(F.col("action") != ROLLBACK)
+            .withColumn("before_date", F.min(replaced).over(later))
+            .select("batch_id", "before_date")
         )
 
+    @staticmethod
+    def _undone(log: DataFrame) -> list[tuple[datetime, datetime]]:
+        """The spans of time that rollbacks undo.
+
+        Read from the end, since a rollback also undoes the rollbacks in its
+        span. Rollbacks are made by hand, so there are few of them.
+        """
+        rollbacks = log.filter(F.col("action") == ROLLBACK).select("restored_to", "committed_at")
+        spans: list[tuple[datetime, datetime]] = []
+        for restored_to, made in sorted(rollbacks.collect(), key=lambda row: row[1], reverse=True):
+            if not spans or made <= spans[-1][0]:
+                spans.append((restored_to, made))
+        return spans
+
     def read(
         self,
         table: str,
@@ -184,8 +216,9 @@ class Warehouse:
             rows = rows.join(shown, "batch_id").filter(
                 F.col("before_date").isNull() | (F.col("event_date") < F.col("before_date"))
             )
-        names = schema.fieldNames() if schema is not None else [c for c in rows.columns if c not in ("batch_id", "before_date")]
-        return rows.select(*names)
+        if schema is not None:
+            return rows.select(*schema.fieldNames())
+        return rows.drop("batch_id", "before_date")
 
     def register(self, table: str, database: str | None = None) -> None:
         """Add a catalog entry for a table, so that SQL can name it."""
@@ -193,7 +226,7 @@ class Warehouse:
         if self.spark.catalog.tableExists(name):
             return
         schema = _with_batch(TABLES[table])
-        partitions = "layer, event_date, batch_id" if table in ("quality_metrics", "alerts") else "event_date, batch_id"
+        partitions = ", ".join([*PARTITIONS.get(table, ("event_date",)), "batch_id"])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({partitions})"
@@ -207,7 +240,11 @@ class Warehouse:
             self.read(table).createOrReplaceTempView(table)
 
 
-def check_quarantine_schema(df: DataFrame) -> None:
-    """Refuse a quarantine table of an older format; its rows are evidence."""
-    if "original_record" not in df.columns:
-        raise SchemaDrift("quarantine table has no original_record column; move it aside first")
+def check_schema(table: str, stored: Sequence[str]) -> None:
+    """Refuse a stored table that lacks columns, for instance of an older format.
+
+    Nothing is dropped: old rows, above all quarantined ones, are evidence.
+    """
+    missing = [name for name in TABLES[table].fieldNames() if name not in stored]
+    if stored and missing:
+        raise SchemaDrift(f"stored table {table} lacks the columns {missing}; move it aside first")
