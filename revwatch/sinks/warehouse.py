@@ -34,6 +34,8 @@ def utc_now() -> datetime:
 
 
 def _with_batch(schema: StructType) -> StructType:
+    if "batch_id" in schema.fieldNames():
+        return schema
     return StructType([*schema.fields, StructField("batch_id", StringType())])
 
 
