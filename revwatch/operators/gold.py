@@ -114,8 +114,11 @@ def _distinct(exact: bool):
     return F.count_distinct if exact else F.approx_count_distinct
 
 
-def _windowed(silver: DataFrame, length: str, watermark: str, keys: list[Column]):
-    source = silver.withWatermark("ingestion_timestamp", watermark) if silver.isStreaming else silver
+def _windowed(silver: DataFrame, length: str, watermark: str | None, keys: list[Column]):
+    """``watermark`` is for a stream that has none yet; ``None`` keeps the one it has."""
+    source = silver
+    if silver.isStreaming and watermark is not None:
+        source = silver.withWatermark("ingestion_timestamp", watermark)
     return source.groupBy(F.window("ingestion_timestamp", length), *keys)
 
 
@@ -187,7 +190,7 @@ def _entity_flags() -> list[Flag]:
 def entity_metrics(
     silver: DataFrame,
     window: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
     exact_distinct: bool = False,
     baseline: EntityBaseline = EntityBaseline(),
     now: Column | None = None,
@@ -304,7 +307,7 @@ def _user_flags() -> list[Flag]:
 def user_metrics(
     silver: DataFrame,
     window: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
     exact_distinct: bool = False,
     baseline: UserBaseline = UserBaseline(),
     now: Column | None = None,
@@ -393,7 +396,7 @@ def _health_explanation() -> Column:
 def global_metrics(
     silver: DataFrame,
     window: str = WINDOW,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
     exact_distinct: bool = False,
     baseline: GlobalBaseline = GlobalBaseline(),
     now: Column | None = None,

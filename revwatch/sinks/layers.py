@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from revwatch.operators.quality import GateResult, QualityGate, quarantine_rows
 from revwatch.schemas import ALERTS, QUALITY_METRICS
@@ -81,7 +82,12 @@ def write_batch(
     write replaces what an earlier attempt left.
     """
     if gate is None:
-        warehouse.append(df, table, batch_id, rebalance=bulk)
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
+        try:
+            if not kept.isEmpty():
+                warehouse.append(kept, table, batch_id, rebalance=bulk)
+        finally:
+            kept.unpersist()
         return None
     result = gate.run(df, batch_id, keep=keep)
     try:

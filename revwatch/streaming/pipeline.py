@@ -48,15 +48,12 @@ def start(
 
     ``once`` drains what is there now and stops, for catch-up runs and tests. No
     output mode is set: append, so a window is emitted once, when it is complete.
+    ``write`` deals with empty batches itself: asking first would read the source,
+    and run the stateful operators, one more time.
     """
     trigger = {"availableNow": True} if once else {"processingTime": interval}
-
-    def skip_empty(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            write(batch, number)
-
     return (
-        df.writeStream.foreachBatch(skip_empty)
+        df.writeStream.foreachBatch(write)
         .queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -126,9 +123,8 @@ def start_gold(
             continue
         silver = follow_silver(warehouse.spark, warehouse.root, max_files=max_files)
         write = batch_writer(warehouse, table, gate, f"gold_{name}")
-        queries.append(
-            start(build(silver), write, f"{checkpoint}/gold_{name}", interval, f"gold_{name}", once)
-        )
+        metrics = build(silver, watermark=None)
+        queries.append(start(metrics, write, f"{checkpoint}/gold_{name}", interval, f"gold_{name}", once))
     return queries
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from revwatch.schemas import PROGRESS
@@ -65,5 +67,13 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             rows, self._rows = self._rows, []
         if rows:
+            # A partition of its own per flush: several jobs may log to one table,
+            # and plain appends to one folder would share a temporary folder.
             frame = self._spark.createDataFrame(rows, PROGRESS).coalesce(1)
-            frame.write.mode("append").partitionBy("event_date").parquet(self._path)
+            (
+                frame.withColumn("flush_id", F.lit(uuid.uuid4().hex))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("event_date", "flush_id")
+                .parquet(self._path)
+            )
