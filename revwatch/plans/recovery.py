@@ -70,7 +70,7 @@ def replay_silver(
         return write_batch(warehouse, SILVER_TABLE, silver, batch_id, gate, keep=False, bulk=True)
     result = gate.run(silver, batch_id, keep=False)
     warehouse.replace_from(result.passed, SILVER_TABLE, batch_id, from_date)
-    write_quarantine(warehouse, result)
+    write_quarantine(warehouse, result, bulk=True)
     record_metrics(warehouse, result)
     return result.metrics
 

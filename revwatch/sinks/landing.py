@@ -26,14 +26,23 @@ def with_landing_folders(records: DataFrame, moment: str = "timestamp") -> DataF
     return records.withColumns(landing_folders(F.col(moment)))
 
 
-def land_stream(records: DataFrame, path: str, checkpoint: str, once: bool = False):
-    """Start landing a stream of ``value`` texts; a file every minute or 100 records."""
+def land_stream(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    records_per_file: int = RECORDS_PER_FILE,
+):
+    """Start landing a stream of ``value`` texts; a file every minute or 100 records.
+
+    Give more ``records_per_file`` where the stream is large.
+    """
     trigger = {"availableNow": True} if once else {"processingTime": f"{ROTATE_SECONDS} seconds"}
     lines = with_landing_folders(records).select(F.col("value").cast("string").alias("value"), *FOLDERS)
     return (
         lines.writeStream.format("text")
         .partitionBy(*FOLDERS)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", records_per_file)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

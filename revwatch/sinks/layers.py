@@ -20,7 +20,7 @@ log = logging.getLogger(__name__)
 FALLBACK = "quarantine_fallback"
 
 
-def write_quarantine(warehouse: Warehouse, result: GateResult) -> int:
+def write_quarantine(warehouse: Warehouse, result: GateResult, bulk: bool = False) -> int:
     """Store the failed rows of a gated batch; returns how many there are.
 
     If the table cannot be written, the rows go to a plain folder beside it.
@@ -31,7 +31,7 @@ def write_quarantine(warehouse: Warehouse, result: GateResult) -> int:
     layer, batch_id = result.metrics["layer"], result.metrics["batch_id"]
     rows = quarantine_rows(result.failed, batch_id, result.metrics["failed_checks"])
     try:
-        warehouse.append(rows, f"{layer}_quarantine", batch_id, row_count=count)
+        warehouse.append(rows, f"{layer}_quarantine", batch_id, row_count=count, rebalance=bulk)
     except PySparkException as error:
         log.error("quarantine table of %s failed, using the fallback folder: %s", layer, error)
         (
@@ -101,7 +101,7 @@ def write_batch(
                 rebalance=bulk,
                 row_count=result.metrics["passed_count"],
             )
-        write_quarantine(warehouse, result)
+        write_quarantine(warehouse, result, bulk)
         record_metrics(warehouse, result)
     finally:
         result.release()

@@ -1,9 +1,10 @@
 """Layer tables as partitioned Parquet folders under one root.
 
 Every batch is written to its own ``batch_id`` partition with dynamic partition
-overwrite, so a batch that is run again replaces what its first run left. A row
-in ``commits`` makes the batch visible to readers; it also carries rollbacks and
-replacements, which therefore move no data.
+overwrite, so a batch that is run again replaces what its first run left, and
+jobs that write different batches do not get in each other's way. A row in
+the table's commit log makes the batch visible to readers; the log also carries
+rollbacks and replacements, which therefore move no data.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
 PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date")}
 COMMIT_LOG = "commits"
 
+#: Rows a file of a micro-batch should hold; fewer files than tasks, where those are small.
+ROWS_PER_FILE = 500_000
+
 
 class SchemaDrift(ValueError):
     """A stored table does not have the columns a writer would add to it."""
@@ -49,6 +53,13 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def exists(self, name: str) -> bool:
+        """Is there a folder of this name? Does not list what is in it."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return path.getFileSystem(conf).exists(path)
+
     def create_tables(self) -> None:
         """Make the folders of all layer tables, so that streams can follow them."""
         for table, schema in TABLES.items():
@@ -78,9 +89,18 @@ class Warehouse:
     ) -> None:
         """Store one batch and make it visible.
 
+        A batch that is visible already is left as it is: a stream that stopped
+        between our commit and its own runs the batch again, and rewritten files
+        would look new to the streams that follow the table.
+
         ``rebalance`` is for bulk loads: rows are gathered by partition, and
         Spark splits a date that holds much of the data over several files.
+        ``row_count``, where it is known, keeps the files of a small batch few.
         """
+        if self.is_committed(table, batch_id):
+            return
+        if row_count is not None and not rebalance:
+            df = df.coalesce(1 + row_count // ROWS_PER_FILE)
         self._store(df, table, batch_id, partition_by, rebalance)
         self._commit(table, batch_id, APPEND, row_count=row_count)
 
@@ -130,13 +150,16 @@ class Warehouse:
             .coalesce(1)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("table_name", "batch_id")
-            .parquet(self.path(COMMIT_LOG))
+            .partitionBy("batch_id")
+            .parquet(self.path(f"{COMMIT_LOG}/{table}"))
         )
 
     def is_committed(self, table: str, batch_id: str) -> bool:
+        """Can readers see this batch? Reads the log only for a batch that is in it."""
+        if not self.exists(f"{COMMIT_LOG}/{table}/batch_id={batch_id}"):
+            return False
         mine = F.col("batch_id") == batch_id
-        return not self.commits(table).filter(mine).isEmpty()
+        return not self.visible_batches(table).filter(mine).isEmpty()
 
     # Reading.
 
@@ -148,10 +171,11 @@ class Warehouse:
         return True
 
     def commits(self, table: str) -> DataFrame:
-        if not self.exists(COMMIT_LOG):
+        """The commit log of a table."""
+        name = f"{COMMIT_LOG}/{table}"
+        if not self.exists(name):
             return self.spark.createDataFrame([], COMMITS)
-        log = self.spark.read.schema(COMMITS).parquet(self.path(COMMIT_LOG))
-        return log.filter(F.col("table_name") == table)
+        return self.spark.read.schema(COMMITS).parquet(self.path(name))
 
     def visible_batches(self, table: str, as_of: datetime | None = None) -> DataFrame:
         """``(batch_id, before_date)`` of the batches a reader may see.

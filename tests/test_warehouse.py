@@ -45,6 +45,23 @@ def test_retried_batch_leaves_one_copy(spark, warehouse):
     assert warehouse.is_committed(SILVER_TABLE, "q_1") and not warehouse.is_committed(SILVER_TABLE, "q_2")
 
 
+def test_visible_batch_is_not_written_again(spark, warehouse):
+    warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
+    files = spark.read.parquet(warehouse.path(SILVER_TABLE)).inputFiles()
+    warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
+    assert spark.read.parquet(warehouse.path(SILVER_TABLE)).inputFiles() == files
+    warehouse.rollback(SILVER_TABLE, utc_now() - dt.timedelta(days=1))
+    assert ids(warehouse.read(SILVER_TABLE)) == []
+    warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
+    assert ids(warehouse.read(SILVER_TABLE)) == ["a"]
+
+
+def test_small_batches_make_few_files(spark, warehouse):
+    rows = some(spark, *"abcdefgh").repartition(8)
+    warehouse.append(rows, SILVER_TABLE, "q_0", row_count=8)
+    assert len(spark.read.parquet(warehouse.path(SILVER_TABLE)).inputFiles()) == 1
+
+
 def test_uncommitted_batch_is_invisible(spark, warehouse):
     warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
     warehouse._store(some(spark, "b"), SILVER_TABLE, "q_1", None, False)
