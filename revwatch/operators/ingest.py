@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revwatch.functions.columns import computed_once
 from revwatch.functions.text import JSON_SPACES, iso_timestamp
 from revwatch.operators.matching import match_entity
 from revwatch.sources.allowlist import Needle
@@ -27,9 +28,14 @@ NOT_AN_OBJECT = "Record is not a JSON object"
 TITLE_NOT_TEXT = "Title is not a text"
 
 
-def _is_object() -> Column:
-    """Does text that is known to be JSON hold an object? Cheaper than its schema."""
-    return F.startswith(F.btrim("value", F.lit(JSON_SPACES)), F.lit("{"))
+def _decoded(records: DataFrame) -> DataFrame:
+    """Add the parsed text and whether it holds an object.
+
+    Text that parses and begins with a brace is an object; asking the parsed
+    value for its schema would cost more.
+    """
+    opens = F.startswith(F.btrim("value", F.lit(JSON_SPACES)), F.lit("{"))
+    return computed_once(records, {"_json": F.try_parse_json("value"), "_is_object": opens})
 
 
 def _member(key: str) -> Column:
@@ -46,13 +52,21 @@ def _as_text(member: str) -> Column:
     return F.try_variant_get(member, "$", "string")
 
 
-def _enriched(now: Column) -> Column:
-    """The record text with a ``_metadata`` object added as its last key.
+def _without(member: str) -> Column:
+    """The object text, trimmed, without a member it may already have."""
+    others = F.map_filter(F.from_json("value", "map<string,variant>"), lambda k, _: k != member)
+    return F.when(_has_key(member), F.to_json(others)).otherwise(
+        F.btrim("value", F.lit(JSON_SPACES))
+    )
+
+
+def _opened(text: str) -> Column:
+    """An object text up to its closing brace."""
+    return F.substring(F.col(text), F.lit(1), F.length(text) - 1)
 
-    The text is spliced, so keys we do not know survive as they came. A record
-    that already carries the key is rebuilt without it first.
-    """
-    metadata = F.to_json(
+
+def _metadata(now: Column) -> Column:
+    return F.to_json(
         F.struct(
             iso_timestamp(now).alias("ingestion_timestamp"),
             F.lit(METADATA_SOURCE).alias("source"),
@@ -60,14 +74,6 @@ def _enriched(now: Column) -> Column:
             F.col("canonical_entity"),
         )
     )
-    rebuilt = F.expr(
-        "to_json(map_filter(from_json(value, 'map<string,variant>'), (k, v) -> k <> '_metadata'))"
-    )
-    kept = F.when(_has_key("_metadata"), rebuilt).otherwise(
-        F.btrim("value", F.lit(JSON_SPACES))
-    )
-    opened = F.substring(kept, F.lit(1), F.length(kept) - 1)
-    return F.concat(opened, F.lit(',"_metadata":'), metadata, F.lit("}"))
 
 
 def route_events(
@@ -84,11 +90,10 @@ def route_events(
     """
     clock = F.current_timestamp() if now is None else now
     parsed = (
-        records.withColumn("_json", F.try_parse_json("value"))
+        _decoded(records)
         .withColumns({"_title": _member("title"), "_wiki": _member("wiki")})
         .withColumns(
             {
-                "_is_object": _is_object(),
                 "_complete": F.col("_title").isNotNull() & F.col("_wiki").isNotNull(),
                 "_title_is_text": F.coalesce(F.schema_of_variant("_title") == "STRING", F.lit(False)),
                 "title": _as_text("_title"),
@@ -117,9 +122,14 @@ def route_events(
         .withColumns(
             {
                 "key": F.when(cleaned, F.concat("wiki", F.lit(":"), "title")),
-                "enriched": F.when(cleaned, _enriched(clock)),
+                "_kept": F.when(cleaned, _without("_metadata")),
             }
         )
+        # The text is spliced, so members we do not know survive as they came.
+        .withColumn(
+            "enriched",
+            F.concat(_opened("_kept"), F.lit(',"_metadata":'), _metadata(clock), F.lit("}")),
+        )
         .select(*records.columns, "route", "key", "canonical_entity", "enriched", "error")
     )
 
@@ -181,27 +191,15 @@ def route_counters(routed: DataFrame) -> DataFrame:
 def unfiltered_records(records: DataFrame, now: Column | None = None) -> DataFrame:
     """Every decodable object, keyed by its ``id``, with an arrival stamp added."""
     clock = F.current_timestamp() if now is None else now
-    stamp = F.concat(F.lit(',"_ingestion_timestamp":"'), iso_timestamp(clock), F.lit('"}'))
-    rebuilt = F.expr(
-        "to_json(map_filter(from_json(value, 'map<string,variant>'),"
-        " (k, v) -> k <> '_ingestion_timestamp'))"
-    )
-    trimmed = F.btrim("value", F.lit(JSON_SPACES))
-    body = F.when(_has_key("_ingestion_timestamp"), rebuilt).otherwise(trimmed)
-    opened = F.substring(body, F.lit(1), F.length(body) - 1)
-    empty = F.regexp_replace(opened, r"\s", "") == "{"
-    stamped = F.when(empty, F.concat(F.lit("{"), F.substring(stamp, F.lit(2), F.length(stamp)))).otherwise(
-        F.concat(opened, stamp)
-    )
-    return (
-        records.withColumn("_json", F.try_parse_json("value"))
-        .filter(F.col("_json").isNotNull() & _is_object())
-        .withColumn("_id", _member("id"))
-        .select(
-            F.lit(RAW_TOPIC).alias("topic"),
-            F.coalesce(
-                F.when(F.is_variant_null("_id"), "None").otherwise(_as_text("_id")), F.lit("")
-            ).alias("key"),
-            stamped.alias("value"),
-        )
+    stamp = F.concat(F.lit('"_ingestion_timestamp":"'), iso_timestamp(clock), F.lit('"}'))
+    objects = _decoded(records).filter("_json IS NOT NULL AND _is_object")
+    member = objects.withColumns({"_id": _member("id"), "_kept": _without("_ingestion_timestamp")})
+    opened = member.withColumn("_opened", _opened("_kept"))
+    comma = F.when(F.btrim("_opened", F.lit(JSON_SPACES)) == "{", "").otherwise(",")
+    return opened.select(
+        F.lit(RAW_TOPIC).alias("topic"),
+        F.coalesce(
+            F.when(F.is_variant_null("_id"), "None").otherwise(_as_text("_id")), F.lit("")
+        ).alias("key"),
+        F.concat("_opened", comma, stamp).alias("value"),
     )

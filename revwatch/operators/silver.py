@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revwatch.functions import text
+from revwatch.functions.columns import computed_once
 from revwatch.schemas import EVENT, SILVER
 
 #: Fixed value: an edit that moves more bytes than this is large.
@@ -46,7 +47,7 @@ def parse_events(bronze: DataFrame) -> DataFrame:
     Text that is not JSON leaves every field null; a field of the wrong type
     leaves only itself null.
     """
-    parsed = bronze.withColumn("_event", F.from_json("event_data", EVENT))
+    parsed = computed_once(bronze, {"_event": F.from_json("event_data", EVENT)})
     fields = [F.col(f"_event.{path}").alias(name) for name, path in EXTRACTED.items()]
     return parsed.select(*bronze.columns, *fields)
 

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revwatch.functions.columns import computed_once
 from revwatch.operators.quality import QualityGate, bronze_gate, silver_gate
 from revwatch.operators.silver import bronze_to_silver, derive, to_silver
 from revwatch.schemas import BRONZE_TABLE, SILVER, SILVER_TABLE
@@ -95,7 +96,8 @@ def replay_gold(
 
 def decode_quarantine(quarantine: DataFrame) -> DataFrame:
     """The original Silver rows of quarantined ones."""
-    return quarantine.select(F.from_json("original_record", SILVER).alias("_row")).select("_row.*")
+    record = F.from_json("original_record", SILVER)
+    return computed_once(quarantine, {"_row": record}).select("_row.*")
 
 
 def repaired(quarantine: DataFrame, fix: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -22,17 +22,22 @@ DEFAULT_CONF = {
     # Plans are built of many small expressions; noting the Python call site of
     # each takes longer than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
 
+# Windows and remembered ids of a large stream do not fit in executor memory.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_STATE = "org.apache.spark.sql.execution.streaming.state"
+IN_MEMORY, ON_DISK = f"{_STATE}.HDFSBackedStateStoreProvider", f"{_STATE}.RocksDBStateStoreProvider"
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings that results depend on."""
+    """Pin the settings that results depend on, and keep stream state on disk."""
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # Spark's own default is replaced, any other choice is left alone.
+    if spark.conf.get(STATE_STORE, IN_MEMORY) == IN_MEMORY:
+        spark.conf.set(STATE_STORE, ON_DISK)
     return spark
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revwatch.functions.columns import computed_once
+
 BACKFILL_TOPIC = "backfill"
 
 
@@ -15,7 +17,7 @@ def to_backfill(lines: DataFrame, now: Column | None = None) -> DataFrame:
     The date is the record's own, from its epoch seconds.
     """
     record = F.from_json("value", "id STRING, timestamp BIGINT")
-    return lines.withColumn("_record", record).select(
+    return computed_once(lines, {"_record": record}).select(
         F.col("_record.id").alias("event_id"),
         F.col("value").alias("event_data"),
         F.lit(BACKFILL_TOPIC).alias("kafka_topic"),

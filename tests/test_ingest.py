@@ -104,5 +104,9 @@ def test_unfiltered(spark):
 
 
 def test_text_is_parsed_once(spark):
-    plan = routed(spark, "{}")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson(value") == 1
+    frame = routed(spark, "{}")
+    only = frame.filter((F.col("route") == "dlq") & F.col("error").isNotNull()).select("error")
+    texts = spark.createDataFrame([("{}",)], "value string")
+    for df in (frame.select("route"), only, ingest.unfiltered_records(texts).select("key")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(value") == 1

@@ -197,3 +197,10 @@ def test_bronze_projection(spark):
     first, second = frame.orderBy("kafka_offset").collect()
     assert (first.event_id, first.event_data, first.kafka_partition) == ("enwiki:A", "{}", 3)
     assert second.event_id is None and second.event_date == ARRIVAL.date()
+
+
+def test_text_is_parsed_once_below_filters(spark):
+    rows = derive(parse_events(bronze(spark, record())))
+    kept = rows.filter("meta_id IS NOT NULL AND namespace >= 0 AND title <> 'x' AND bytes_changed < 9")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
