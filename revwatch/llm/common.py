@@ -39,16 +39,10 @@ def text_of(column: str = "text") -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP))
 
 
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def content_class(words: Column) -> Column:
-    """The least hash of a text's words: copies and near copies mostly share it."""
-    return F.coalesce(
-        F.array_min(F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))), F.lit(0)
-    )

@@ -2,8 +2,8 @@
 
 Each text gives its word statistics and, per line, a hash of the normalised line. A
 line is counted once per document and host; the count is of distinct documents, where
-documents of one content class (copies and near copies, see ``content_class``) count
-about once: classes less a fifth of the largest class, so that edited copies that fell
+documents of one content class (those whose least word hash agrees, as that of copies
+and near copies mostly does) count about once: classes less a fifth of the largest class, so that edited copies that fell
 out of their class do not add up. Lines above the limit are removed, and a document
 left with too small a share of its words is rejected.
 """
@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revwatch.llm.common import WORD_GAP, content_class, let, text_of, words_of, written
+from revwatch.functions.columns import computed_once
+from revwatch.llm.common import WORD_GAP, let, text_of, words_of, written
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -48,12 +49,12 @@ def _repeated_words(hashes: Column) -> Column:
     )
 
 
-def _window_hashes(words: Column) -> Column:
-    places = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
-    return F.when(
-        F.size(words) >= WINDOW,
-        F.transform(places, lambda i: F.xxhash64(F.slice(words, i, F.lit(WINDOW)))),
-    ).otherwise(F.array().cast("array<bigint>"))
+def _window_hashes(hashes: Column) -> Column:
+    """A hash for each 8-word window, from the words' hashes."""
+    windows = F.transform(
+        hashes, lambda h, i: F.xxhash64(h, *(F.get(hashes, i + k) for k in range(1, WINDOW)))
+    )
+    return F.slice(windows, F.lit(1), F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0)))
 
 
 def normalised(line: Column) -> Column:
@@ -64,35 +65,38 @@ def _has_word(line: Column) -> Column:
     return line.rlike(r"[^ \t-\r]")
 
 
-def text_statistics(text: Column) -> Column:
-    """One struct per text: counts, content class, and (hash, words) of each line with a word."""
+def text_statistics(docs: DataFrame) -> DataFrame:
+    """Counts, content class, and (hash, words) of each line with a word, from ``text``.
 
-    def of_words(words: Column) -> Column:
-        return F.struct(
-            F.size(words).cast("bigint").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
-            let(_window_hashes(words), _repeated_words).cast("bigint").alias("n_repeat_words"),
-            content_class(words).alias("class"),
-        )
+    Word arrays are generator output at each step: so they are computed once, and array
+    functions on them run compiled, which lambda bodies do not.
+    """
 
-    def of_lines(lines: Column) -> Column:
-        return F.struct(
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
-            F.transform(
-                lines,
-                lambda line: let(
-                    normalised(line),
-                    lambda n: F.struct(
-                        F.xxhash64(n).alias("hash"), F.size(F.split(n, " ")).alias("words")
-                    ),
-                ),
-            ).alias("lines"),
+    def of_line(line: Column) -> Column:
+        return let(
+            normalised(line),
+            lambda n: F.struct(F.xxhash64(n).alias("hash"), F.size(F.split(n, " ")).alias("words")),
         )
 
-    return F.struct(
-        let(words_of(text), of_words).alias("w"),
-        let(F.filter(F.split(text, "\n"), _has_word), of_lines).alias("l"),
-        (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+    text = F.col("text")
+    split = computed_once(
+        docs, {"t_words": words_of(text), "t_lines": F.filter(F.split(text, "\n"), _has_word)}
+    )
+    lined = split.select(
+        *(c for c in split.columns if c not in ("t_words", "t_lines")),
+        F.size("t_words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("t_words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+        (F.size("t_lines") - F.size(F.array_distinct("t_lines"))).cast("bigint").alias("n_dup_lines"),
+        F.transform("t_lines", of_line).alias("lines"),
+        F.transform("t_words", lambda w: F.xxhash64(w)).alias("t_hashes"),
+    )
+    hashed = computed_once(lined, {"t_hash": F.col("t_hashes")}).drop("t_hashes")
+    windows = computed_once(hashed, {"t_windows": _window_hashes(F.col("t_hash"))})
+    return windows.select(
+        *(c for c in lined.columns if c != "t_hashes"),
+        F.coalesce(F.array_min("t_hash"), F.lit(0)).alias("class"),
+        _repeated_words(F.col("t_windows")).cast("bigint").alias("n_repeat_words"),
     )
 
 
@@ -107,16 +111,22 @@ def quality_rules(
     row per input row, repeated rows included; a null text is empty and fails. Columns
     named in ``carry`` go along; any others are ignored.
     """
-    extra = [F.col(c).alias(f"carry_{c}") for c in carry]
-    found = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), *extra,
-                        text_statistics(text_of()).alias("t"))
+    found = text_statistics(
+        docs.select(
+            "doc_id",
+            F.coalesce("source", F.lit("")).alias("host"),
+            text_of().alias("text"),
+            *(F.col(c).alias(f"carry_{c}") for c in carry if c != "text"),
+        )
+    )
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    flat = found.select(
-        "doc_id", "host", *(F.col(f"carry_{c}") for c in carry),
-        "t.w.n_words", "t.w.word_chars", "t.n_symbols", "t.l.n_dup_lines", "t.w.n_repeat_words",
-        "t.w.class", "t.l.lines",
-    ).withColumn("row", F.monotonically_increasing_id())
-    stats = written(flat, "quality").withColumn("base_failed", base_failed)
+    kept_text = "text" in carry
+    stats = written(
+        (found if kept_text else found.drop("text"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .withColumn("base_failed", base_failed),
+        "quality",
+    )
 
     once = stats.select(
         "host", "class", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash")
