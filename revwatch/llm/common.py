@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,21 @@ from revwatch.session import shared_folder
 WORD_GAP = r"[ \t-\r]+"
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers look for the package where the driver found it.
+
+    That serves local runs from any folder; on a cluster the package is installed or
+    sent along with ``--py-files``.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import quality, secrets
+from revwatch.llm import decontaminate, packing, quality, secrets
 from revwatch.llm.common import table
 
 
@@ -18,6 +19,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(quality.quality_rules(table(spark, sf_dir, "documents")))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination_digest(decontaminate.find_contamination(docs, benchmark))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_quality_rules)
+    f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_benchmark_decontamination, op7_best_fit_packing)
 }
