@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import decontaminate, packing, quality, secrets
+from revwatch.llm import decontaminate, packing, quality, secrets, simhash
 from revwatch.llm.common import table
 
 
@@ -24,11 +24,15 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination_digest(decontaminate.find_contamination(docs, benchmark))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_benchmark_decontamination, op7_best_fit_packing)
+    f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_benchmark_decontamination, op5_simhash_near_dedup, op7_best_fit_packing)
 }
