@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import decontaminate, packing, quality, secrets, simhash
+from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, urlrules
 from revwatch.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination_digest(decontaminate.find_contamination(docs, benchmark))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return styletree.extraction_digest(styletree.extract_text(table(spark, sf_dir, "pages")))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -33,6 +37,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_benchmark_decontamination, op5_simhash_near_dedup, op7_best_fit_packing)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_quality_rules,
+        op3_benchmark_decontamination,
+        op4_html_extraction,
+        op5_simhash_near_dedup,
+        op7_best_fit_packing,
+        op10_url_filters,
+    )
 }
