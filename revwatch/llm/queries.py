@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, urlrules
+from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, urlrules, warc
 from revwatch.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_html_extraction,
         op5_simhash_near_dedup,
         op7_best_fit_packing,
+        op8_warc_archives,
         op10_url_filters,
     )
 }
