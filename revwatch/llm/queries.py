@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, urlrules, warc
+from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, templates, urlrules, warc
 from revwatch.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.drop_templates(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_benchmark_decontamination,
         op4_html_extraction,
         op5_simhash_near_dedup,
+        op6_line_templates,
         op7_best_fit_packing,
         op8_warc_archives,
         op10_url_filters,
