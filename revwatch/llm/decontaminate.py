@@ -26,7 +26,8 @@ WINDOW = 10
 #: Characters of item text per automaton: about 2 GB of nodes at the most.
 BLOCK_CHARS = 4_000_000
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words in the original text, where capitals are not yet lower-cased.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: ASCII letters in lower case, digits and all other bytes above ASCII kept, the rest blank.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
