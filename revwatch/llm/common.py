@@ -61,3 +61,15 @@ def words_of(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: ASCII letters in lower case, digits and all other bytes above ASCII kept, the rest blank.
+_FOLD = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
+    for b in range(256)
+)
+
+
+def folded_words(text: str | None) -> list[bytes]:
+    """Lower-cased words as UTF-8; bytes beyond ASCII never part words."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()

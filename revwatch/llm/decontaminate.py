@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revwatch.llm.common import written
+from revwatch.llm.common import folded_words, written
 
 WINDOW = 10
 #: Characters of item text per automaton: about 2 GB of nodes at the most.
@@ -28,12 +28,6 @@ BLOCK_CHARS = 4_000_000
 
 #: Words in the original text, where capitals are not yet lower-cased.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-#: ASCII letters in lower case, digits and all other bytes above ASCII kept, the rest blank.
-_FOLD = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
-    for b in range(256)
-)
-
 HITS = T.ArrayType(
     T.StructType(
         [T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")]
@@ -41,11 +35,6 @@ HITS = T.ArrayType(
 )
 
 
-def folded_words(text: str | None) -> list[bytes]:
-    """Lower-cased words as UTF-8; bytes beyond ASCII never part words."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
-
-
 def item_windows(text: str | None) -> set[bytes]:
     words = folded_words(text)
     last = max(len(words) - WINDOW, 0)

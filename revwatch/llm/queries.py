@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import decontaminate, packing, quality, secrets, simhash, styletree, templates, urlrules, warc
+from revwatch.llm import chaining, decontaminate, packing, quality, secrets, simhash, styletree, templates, urlrules, warc
 from revwatch.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_line_templates,
         op7_best_fit_packing,
         op8_warc_archives,
+        op9_substring_dedup,
         op10_url_filters,
     )
 }
