@@ -155,6 +155,7 @@ def quality_rules(
             (~F.col("base_failed") & (left >= min_share * F.col("n_words"))).alias("kept"),
         )
         .drop("row", "host", "words_removed")
+        .withColumnsRenamed({f"carry_{c}": c for c in carry if c != "text"})
     )
 
 
