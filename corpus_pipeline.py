@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revwatch.llm.common import table, written
+from revwatch.llm.common import importable, table, written
 from revwatch.llm.decontaminate import find_contamination
 from revwatch.llm.packing import pack
 from revwatch.llm.quality import quality_rules, without_lines
@@ -42,6 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that of least doc_id."""
+    importable(spark)
     return _documents(near_duplicates(docs, carry=("text", *_REST)).where("first"))
 
 
@@ -53,6 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences of 4096 tokens."""
+    importable(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
