@@ -31,12 +31,15 @@ SEED = 42
 SHINGLE = 3
 RADIUS = 3
 HALF_RADIUS = RADIUS // 2
-#: Fingerprints that the trees are fitted on; these alone go to the driver.
+#: About as many fingerprints, by hash, fit the trees; these alone go to the driver.
 SAMPLE = 20_000
 #: Fingerprints a shard should hold, and homes or queries a task may compare.
 SHARD = 1_024
 BLOCK = 8_192
 _PLAIN = 192
+#: Share of a node's points that a cut may send both ways; a region denser than that is not cut
+#: further, as queries would be copied faster than shards shrink, but compared in blocks.
+BOTH = 0.4
 
 
 def fingerprint(text: str | None) -> int:
@@ -87,7 +90,7 @@ def _distance(values: np.ndarray, point: int) -> np.ndarray:
     return np.bitwise_count(values ^ np.uint64(point)).astype(np.int16)
 
 
-def _cut(values: np.ndarray, radius: int) -> tuple[int, int] | None:
+def _cut(values: np.ndarray, radius: int, most_both: float = 1.0) -> tuple[int, int] | None:
     """The point and bound, of a few tried, that send the fewest queries both ways."""
     best = None
     for point in values[:: max(1, len(values) // 8)][:8]:
@@ -97,6 +100,8 @@ def _cut(values: np.ndarray, radius: int) -> tuple[int, int] | None:
             if not 0 < near < len(values):
                 continue
             both = np.count_nonzero((far - radius <= bound) & (far + radius > bound))
+            if both > most_both * len(values):
+                continue
             cost = both / len(values) + abs(near / len(values) - 0.5)
             if best is None or cost < best[0]:
                 best = (cost, int(point), bound)
@@ -105,7 +110,7 @@ def _cut(values: np.ndarray, radius: int) -> tuple[int, int] | None:
 
 def fit_tree(sample: np.ndarray, leaf: int, radius: int, first: int = 0) -> tuple[Vantage | int, int]:
     """A tree whose leaves hold about ``leaf`` of the sample; leaves are numbered from ``first``."""
-    cut = _cut(sample, radius) if len(sample) > leaf else None
+    cut = _cut(sample, radius, BOTH) if len(sample) > leaf else None
     if cut is None:
         return first, first + 1
     inside = _distance(sample, cut[0]) <= cut[1]
@@ -185,7 +190,8 @@ def _links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) between the distinct ``fingerprint`` values that connect all within reach."""
     spark = nodes.sparkSession
     n = nodes.count()
-    picked = nodes.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).collect()
+    by_hash = F.pmod(F.xxhash64("fingerprint"), F.lit(max(n, 1))) < SAMPLE  # about that many, or all
+    picked = nodes.where(by_hash).select("fingerprint").collect()
     sample = np.array([r.fingerprint for r in picked], np.int64).view(np.uint64)
     leaf = max(8, SHARD * len(sample) // max(n, 1))
     low, high = np.uint64(0xFFFFFFFF), np.uint64(32)
