@@ -50,7 +50,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlrules.judge_urls(table(spark, sf_dir, "pages"))
+    return urlrules.judge_urls(table(spark, sf_dir, "pages")).drop("matched")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

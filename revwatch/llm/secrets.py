@@ -6,7 +6,7 @@ scope, a scope being the text between blank lines:
 
 * ``login`` (a user or client id in an assignment) needs a secret,
 * ``key`` (a long token of mixed case and digits) needs an access identifier or login,
-* ``endpoint`` (a URL or host:port) needs both.
+* ``endpoint`` (a URL of a service) needs both.
 
 The link is an interval semi-join by sweep: parts become rows, and windows over one
 document's parts, ordered by place, carry the nearest part of each role from either
@@ -15,6 +15,8 @@ side. No pairs are formed, and a row's parts never meet another row's.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,13 +25,12 @@ from revwatch.llm.common import let, text_of
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-LOGIN = r"""(?i)(client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=@-]++)"""
-KEY = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])"
-    r"(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
-)
-ENDPOINT = r"(?i)https?://[^\s\"'<>]++|(?<![a-z0-9.-])[a-z0-9.-]++:[0-9]{2,5}(?![0-9])"
-BREAK = r"\n[ \t\r]*+\n"
+LOGIN = r"""(?i)(client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=@-]+)"""
+KEY = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+ENDPOINT = r"""(?:https?|ftp|wss?|s3|ssh|amqp|redis|mysql|postgresql|mongodb)://[^\x20\t-\r"'<>]+"""
+BREAK = r"\n[\x20\t\r]*\n"
+MIN_VALUE = 6  # characters of an assigned secret
+MIN_LOGIN = 3
 
 #: Order in which parts that start together are listed.
 KINDS = ("assign", "access", "hex", "login", "key", "endpoint", "break")
@@ -79,32 +80,30 @@ def _placed(lengths: Column, rank: int) -> Column:
     return let(lengths, lambda p: F.when(F.size(p) > 0, placed(p)).otherwise(F.array().cast(SPAN)))
 
 
-def _matches(text: Column, kind: str, pattern: str, least: int = 0) -> Column:
-    """Spans of the leftmost non-overlapping matches whose second group has ``least`` characters.
+def _matches(text: Column, kind: str, pattern: str, group: int = 0, keep: Callable[[Column], Column] | None = None) -> Column:
+    """Spans of the leftmost non-overlapping matches whose ``group`` satisfies ``keep``.
 
     ``split`` gives what lies between the matches, so lengths add up to places.
     """
-    rank = KINDS.index(kind)
-    found = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, match: F.struct(
-            F.length(gap).alias("gap"), F.coalesce(F.length(match), F.lit(0)).alias("size"), match.isNotNull().alias("real")
-        ),
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.zip_with(
+        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)),
+        matches,
+        lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("size")),
     )
-    spans = _placed(F.filter(found, lambda x: x["real"]), rank)
-    if least:
-        sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), F.length)
-        spans = F.transform(
-            F.filter(
-                F.zip_with(spans, sizes, lambda s, n: F.struct(s.alias("s"), n.alias("n"))),
-                lambda x: x["n"] >= least,
-            ),
-            lambda x: x["s"],
-        )
+    spans = _placed(pairs, KINDS.index(kind))
+    if keep is not None:
+        judged = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), keep)
+        both = F.zip_with(spans, judged, lambda s, k: F.struct(s.alias("s"), k.alias("k")))
+        spans = F.transform(F.filter(both, lambda x: x["k"]), lambda x: x["s"])
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
+def _mixed(value: Column) -> Column:
+    """Digits and letters of either case."""
+    return value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, joined by commas."""
     names = F.array(*(F.lit(k) for k in KINDS))
@@ -129,10 +128,12 @@ def scan_secrets(docs: DataFrame, reach: int = 300) -> DataFrame:
     text = F.col("text")
     base = docs.select("doc_id", text_of().alias("text")).withColumn(
         "base",
-        F.concat(_matches(text, "assign", ASSIGN, 6), _matches(text, "access", ACCESS), _matches(text, "hex", HEX)),
+        F.concat(_matches(text, "assign", ASSIGN, 2, lambda v: F.length(v) >= MIN_VALUE), _matches(text, "access", ACCESS), _matches(text, "hex", HEX)),
     )
     weak = F.concat(
-        _matches(text, "login", LOGIN, 3), _matches(text, "key", KEY), _matches(text, "endpoint", ENDPOINT)
+        _matches(text, "login", LOGIN, 2, lambda v: F.length(v) >= MIN_LOGIN),
+        _matches(text, "key", KEY, 0, _mixed),
+        _matches(text, "endpoint", ENDPOINT)
     )
     has_id = text.rlike(f"{ACCESS}|{LOGIN}")
     # Without an identifier nothing weak can be reported.
