@@ -12,6 +12,7 @@ prefix sum over tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from bisect import bisect_right, insort
@@ -29,13 +30,12 @@ from revwatch.llm.common import written
 
 CAPACITY = 4096
 END_ID = 1
-#: Words and word cores whose ids a worker keeps (about 200 bytes each); a full store is emptied.
-CACHED_WORDS = 600_000
-CACHED_CORES = 1_200_000
+#: Words whose ids a worker keeps (about 200 bytes each); a full store is emptied.
+CACHED_WORDS = 1_200_000
 #: Words that are looked up together.
-GROUP_WORDS = 300_000
+GROUP_WORDS = 4_000
 _SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python alone
-_MARKS = ".,;:!?"
+_MARK_AFTER_MARK = re.compile(r"(?:[^\w\s]|_)[.,]\s")
 
 Bins = list[tuple[int, list[tuple[int, int]]]]  # (how many such bins, [(length, pieces of it in each bin)])
 
@@ -43,72 +43,67 @@ Bins = list[tuple[int, list[tuple[int, int]]]]  # (how many such bins, [(length,
 class WordTokens:
     """Ids of whole texts, put together from the ids of their words.
 
-    The vocabulary drops white space, lower-cases and never joins letters with marks, so a
-    text's ids are those of its words, and a word's those of its lower-case core and its
-    closing marks; cores are what is tokenized, once each. Tests compare with whole texts.
+    The vocabulary drops white space, lower-cases, and joins neither words nor letters with
+    marks, so a text's ids are those of its words, and a full stop or comma that closes a
+    word may stand alone; each different word is tokenized once. Tests compare with whole
+    texts.
     """
 
-    def __init__(self, path: str, words: int = CACHED_WORDS, cores: int = CACHED_CORES):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most_words, self.most_cores = Tokenizer.from_file(path), words, cores
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
-    def _core(word: str) -> str:
-        """The word up to its closing marks, or all of it if they may not stand alone."""
-        core = word.rstrip(_MARKS)
-        return core if core and core[-1] < "\u0130" and core[-1].isalnum() else word
-
-    def _learn(self, words: list[str]) -> None:
-        cores = list(map(self._core, words))
-        marks = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
-        # Below U+0130 lower case is one letter for one, and does not depend on its neighbours.
-        cores = [c.lower() if c.isascii() or max(c) < "\u0130" else c for c in cores]
-        known = self.cores
-        new = [c for c in {*cores, *marks} if c not in known]
-        if len(known) + len(new) > self.most_cores:
+    def words(text: str) -> list[str]:
+        """Parts of the text whose ids, in order, are the text's."""
+        if any(c in text for c in _SEPARATORS):
+            return text.split(" ")
+        try:
+            text.encode("latin-1")  # letters that lower-case one for one and do not compose
+        except UnicodeEncodeError:
+            return text.split()
+        # "<|" may begin a special token, which is matched by its case.
+        if "<|" in text or _MARK_AFTER_MARK.search(text):
+            return text.split()
+        return text.lower().replace("\n", " ").replace(". ", " . ").replace(", ", " , ").split()
+
+    def _know(self, words: set[str]) -> None:
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > self.cached:
             known.clear()
-            new = list({*cores, *marks})
+            new = list(words)
         for at in range(0, len(new), 1000):  # encodings die young, before garbage is looked for
             some = new[at : at + 1000]
             coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             known.update(zip(some, [array("I", c.ids).tobytes() for c in coded], strict=True))
-        self.words.update(zip(words, [known[c] + known[m] for c, m in zip(cores, marks, strict=True)], strict=True))
-
-    def _know(self, lists: list[list[str]]) -> None:
-        here = set().union(*lists)
-        new = [w for w in here if w not in self.words]
-        if len(self.words) + len(new) > self.most_words:
-            self.words.clear()
-            new = list(here)
-        if new:
-            self._learn(new)
 
     def _ids(self, words: list[str]) -> bytes:
-        return b"".join(map(self.words.__getitem__, words))
+        return b"".join(map(self.known.__getitem__, words))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         group: list[list[str]] = []
         size = 0
         for text in texts:
-            words = text.split(" ") if any(c in text for c in _SEPARATORS) else text.split()
+            words = self.words(text)
             if group and size + len(words) > GROUP_WORDS:
-                self._know(group)
+                self._know(set().union(*group))
                 yield from map(self._ids, group)
                 group, size = [], 0
             if len(words) > GROUP_WORDS:
                 out = []
                 for at in range(0, len(words), GROUP_WORDS):
-                    self._know([words[at : at + GROUP_WORDS]])
-                    out.append(self._ids(words[at : at + GROUP_WORDS]))
+                    some = words[at : at + GROUP_WORDS]
+                    self._know(set(some))
+                    out.append(self._ids(some))
                 yield b"".join(out)
                 continue
             group.append(words)
             size += len(words)
-        self._know(group)
+        self._know(set().union(*group))
         yield from map(self._ids, group)
 
 
