@@ -74,12 +74,23 @@ def _parser() -> argparse.ArgumentParser:
     replay.add_argument("--layer", choices=("silver", "gold"), default="silver")
     replay.add_argument("--offsets")
     job("reprocess", "root", "date").add_argument("--reason", default="%")
-    job("profile", "path")
+    job("profile", "path").add_argument("--output")
     job("sample", "path", "output").add_argument("--max-events", type=int, default=10)
-    job("dashboard", "root").add_argument("view", choices=("risk", "users", "trend", "freshness"))
+    dashboard = job("dashboard", "root")
+    dashboard.add_argument("view", choices=("risk", "users", "trend", "freshness"))
+    dashboard.add_argument("--output")
     return parser
 
 
+def _deliver(df, output: str | None) -> None:
+    """All rows as JSON: to a folder, or a line each on the console."""
+    if output:
+        df.write.mode("errorifexists").json(output)
+        return
+    for row in df.select(F.to_json(F.struct("*"))).toLocalIterator():
+        print(row[0])
+
+
 def _dashboard(warehouse: Warehouse, view: str):
     if view == "risk":
         return serving.entity_risk_summary(warehouse.read(GOLD_ENTITY_TABLE))
@@ -122,8 +133,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = get_spark(f"revwatch-{options.job}")
     if options.job == "profile":
         table = spark.read.parquet(options.path)
-        column_profile(table).show(200, truncate=False)
-        top_values(table).orderBy("column_name", "rank").show(500, truncate=False)
+        _deliver(column_profile(table), options.output and f"{options.output}/columns")
+        _deliver(top_values(table).orderBy("column_name", "rank"), options.output and f"{options.output}/values")
         return
     if options.job == "sample":
         save_sample(sample_records(spark, options.path, options.max_events), options.output)
@@ -145,7 +156,7 @@ def main(arguments: list[str] | None = None) -> None:
             warehouse, serving.quarantine_selection(quarantine, day, options.reason)
         )
     elif options.job == "dashboard":
-        _dashboard(warehouse, options.view).show(100, truncate=False)
+        _deliver(_dashboard(warehouse, options.view), options.output)
     else:
         _stream(spark, warehouse, options)
 

@@ -555,7 +555,7 @@ def _stored(spark, sf_dir):
 def replay_from_date(spark, sf_dir):
     """Metrics of stored Silver rows, computed again from a date and put in place."""
     warehouse = Warehouse(spark, shared_folder(spark, "replay-query"))
-    warehouse.append(_stored(spark, sf_dir), SILVER_TABLE, "first", rebalance=True)
+    warehouse.append(_stored(spark, sf_dir), SILVER_TABLE, "first")
     stale = gold.entity_metrics(warehouse.read(SILVER_TABLE), "1 day", exact_distinct=True)
     warehouse.append(stale.withColumn("risk_score", F.lit(-1)), GOLD_ENTITY_TABLE, "stale")
     recovery.replay_gold(warehouse, REPLAY_FROM, families=("entity",), window="1 day", exact_distinct=True)
@@ -570,9 +570,9 @@ def as_of_read(spark, sf_dir):
     warehouse = Warehouse(spark, shared_folder(spark, "as-of-query"))
     rows = _stored(spark, sf_dir)
     early = F.col("event_date") < F.lit(REPLAY_FROM)
-    warehouse.append(rows.filter(early), SILVER_TABLE, "batch-1", rebalance=True)
+    warehouse.append(rows.filter(early), SILVER_TABLE, "batch-1")
     first = utc_now()
-    warehouse.append(rows.filter(~early), SILVER_TABLE, "batch-2", rebalance=True)
+    warehouse.append(rows.filter(~early), SILVER_TABLE, "batch-2")
     second = utc_now()
     warehouse.rollback(SILVER_TABLE, first)
 

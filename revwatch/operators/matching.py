@@ -54,17 +54,16 @@ def match_entity(
 
     ``allowlist`` is a driver-side list, or a needle frame as made by
     :func:`allowlist_frame` when the list itself is a table; a frame has no
-    known length, so it always takes the shuffled plan.
+    known length, so it always takes the shuffled plan. For a list the caller says
+    which plan to take; the length only guards the broadcast.
     """
     if isinstance(allowlist, DataFrame):
         if strategy == "broadcast":
             raise ValueError("only a driver-side list has the known length a broadcast needs")
         return _match_by_grams(df, allowlist, title, wiki, output)
-    if strategy is None:
-        strategy = "broadcast" if len(allowlist) <= BROADCAST_NEEDLES else "grams"
-    if strategy == "broadcast":
+    if strategy in (None, "broadcast"):
         if len(allowlist) > BROADCAST_NEEDLES:
-            raise ValueError(f"{len(allowlist)} needles are too many to broadcast")
+            raise ValueError(f"{len(allowlist)} needles are too many to broadcast; use strategy='grams'")
         return _match_by_broadcast(df, allowlist, title, wiki, output)
     frame = allowlist_frame(df.sparkSession, allowlist)
     return _match_by_grams(df, frame, title, wiki, output)

@@ -28,15 +28,20 @@ def column_profile(
 ) -> DataFrame:
     """One row per column: type, counts, distinct values, range, moments, quantiles.
 
+    A nested column (struct, array, map, variant) has its type and counts alone.
+
     All columns are measured in one aggregation whose single result row is then
     unpivoted. With the approximate distinct count the state is of fixed size;
     the exact one goes through the value counts, which shuffle.
     """
-    fields = [f for f in df.schema.fields if (columns is None or f.name in columns) and _plain(f)]
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     measures = [F.count("*").alias("rows")]
     for i, field in enumerate(fields):
         column = F.col(f"`{field.name}`")
-        measures += [F.count(column).alias(f"n_{i}"), F.min(column).alias(f"lo_{i}"), F.max(column).alias(f"hi_{i}")]
+        measures.append(F.count(column).alias(f"n_{i}"))
+        if not _plain(field):
+            continue
+        measures += [F.min(column).alias(f"lo_{i}"), F.max(column).alias(f"hi_{i}")]
         if not exact_distinct:
             measures.append(F.approx_count_distinct(column).alias(f"d_{i}"))
         if _numeric(field):
@@ -49,7 +54,8 @@ def column_profile(
     lines = []
     for i, field in enumerate(fields):
         number = _numeric(field)
-        count = F.col(f"n_{i}")
+        count, plain = F.col(f"n_{i}"), _plain(field)
+        no_count, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
         lines.append(
             F.struct(
                 F.lit(i).alias("position"),
@@ -58,9 +64,9 @@ def column_profile(
                 F.col("rows"),
                 count.alias("present"),
                 (F.col("rows") - count).alias("missing"),
-                (F.lit(None).cast("bigint") if exact_distinct else F.col(f"d_{i}")).alias("distinct_values"),
-                F.col(f"lo_{i}").cast("string").alias("min_value"),
-                F.col(f"hi_{i}").cast("string").alias("max_value"),
+                (F.col(f"d_{i}") if plain and not exact_distinct else no_count).alias("distinct_values"),
+                (F.col(f"lo_{i}").cast("string") if plain else no_text).alias("min_value"),
+                (F.col(f"hi_{i}").cast("string") if plain else no_text).alias("max_value"),
                 (F.col(f"mean_{i}").cast("double") if number else nothing).alias("mean"),
                 (F.col(f"std_{i}").cast("double") if number else nothing).alias("stddev"),
                 (F.col(f"q_{i}") if number and quantiles else F.lit(None).cast("array<double>")).alias("quantiles"),
@@ -73,7 +79,10 @@ def column_profile(
     distinct = counted.groupBy("column_name").agg(F.count("*").alias("_d"))
     return (
         profile.join(distinct, "column_name", "left")
-        .withColumn("distinct_values", F.coalesce("_d", F.lit(0).cast("bigint")))
+        .withColumn(
+            "distinct_values",
+            F.when(F.col("column_name").isin([f.name for f in fields if _plain(f)]), F.coalesce("_d", F.lit(0).cast("bigint"))),
+        )
         .select(*profile.columns)
     )
 

@@ -133,7 +133,9 @@ def drop_replays(events: DataFrame, within: str | None = None) -> DataFrame:
         if within is not None:
             keyed = keyed.withWatermark("ingestion_timestamp", within)
         return keyed.dropDuplicatesWithinWatermark(key).drop("_origin")
-    arrival = map(F.col, ["ingestion_timestamp", *_lineage_columns(events)])
+    arrival = [F.col(name) for name in ("ingestion_timestamp", *_lineage_columns(events))]
+    if "event_data" in events.columns:  # backfilled rows share their coordinates
+        arrival.append(F.sha2("event_data", 256))
     first = Window.partitionBy(*key).orderBy(*arrival)
     ranked = keyed.withColumn("_rank", F.row_number().over(first))
     return ranked.filter("_rank = 1").drop("_rank", "_origin")

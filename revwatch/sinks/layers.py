@@ -20,7 +20,7 @@ log = logging.getLogger(__name__)
 FALLBACK = "quarantine_fallback"
 
 
-def write_quarantine(warehouse: Warehouse, result: GateResult, bulk: bool = False) -> int:
+def write_quarantine(warehouse: Warehouse, result: GateResult) -> int:
     """Store the failed rows of a gated batch; returns how many there are.
 
     If the table cannot be written, the rows go to a plain folder beside it.
@@ -31,7 +31,7 @@ def write_quarantine(warehouse: Warehouse, result: GateResult, bulk: bool = Fals
     layer, batch_id = result.metrics["layer"], result.metrics["batch_id"]
     rows = quarantine_rows(result.failed, batch_id, result.metrics["failed_checks"])
     try:
-        warehouse.append(rows, f"{layer}_quarantine", batch_id, row_count=count, rebalance=bulk)
+        warehouse.append(rows, f"{layer}_quarantine", batch_id, row_count=count)
     except PySparkException as error:
         log.error("quarantine table of %s failed, using the fallback folder: %s", layer, error)
         (
@@ -74,7 +74,6 @@ def write_batch(
     batch_id: str,
     gate: QualityGate | None,
     keep: bool = True,
-    bulk: bool = False,
 ) -> dict | None:
     """Gate one batch and store both halves; ``None`` if there was nothing to do.
 
@@ -85,7 +84,7 @@ def write_batch(
         kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
         try:
             if not kept.isEmpty():
-                warehouse.append(kept, table, batch_id, rebalance=bulk)
+                warehouse.append(kept, table, batch_id)
         finally:
             kept.unpersist()
         return None
@@ -98,28 +97,34 @@ def write_batch(
                 result.passed,
                 table,
                 batch_id,
-                rebalance=bulk,
                 row_count=result.metrics["passed_count"],
             )
-        write_quarantine(warehouse, result, bulk)
+        write_quarantine(warehouse, result)
         record_metrics(warehouse, result)
     finally:
         result.release()
     return result.metrics
 
 
+def stream_batch_id(batch: DataFrame, name: str, number: int) -> str:
+    """A name for a micro-batch that no other query's batch can have.
+
+    Batch ids carry the streaming query's whole id: a query that starts over with a new
+    checkpoint counts from zero again and must not be taken for the older one.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("no streaming query id: a batch without one could hide another")
+    return f"{name}_{query}_{number}"
+
+
 def batch_writer(
     warehouse: Warehouse, table: str, gate: QualityGate | None, name: str
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of a layer.
-
-    Batch ids carry the streaming query's id: a query that starts over with a new
-    checkpoint counts from zero again and must not replace older batches.
-    """
+    """The ``foreachBatch`` function of a layer."""
 
     def write(batch: DataFrame, number: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        metrics = write_batch(warehouse, table, batch, f"{name}_{query[:8]}_{number}", gate)
+        metrics = write_batch(warehouse, table, batch, stream_batch_id(batch, name, number), gate)
         log.info("%s batch %s: %s", name, number, metrics)
 
     return write

@@ -25,9 +25,6 @@ APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
 PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date")}
 COMMIT_LOG = "commits"
 
-#: Rows a file of a micro-batch should hold; fewer files than tasks, where those are small.
-ROWS_PER_FILE = 500_000
-
 
 class SchemaDrift(ValueError):
     """A stored table does not have the columns a writer would add to it."""
@@ -84,7 +81,6 @@ class Warehouse:
         table: str,
         batch_id: str,
         partition_by: Sequence[str] | None = None,
-        rebalance: bool = False,
         row_count: int | None = None,
     ) -> None:
         """Store one batch and make it visible.
@@ -93,15 +89,13 @@ class Warehouse:
         between our commit and its own runs the batch again, and rewritten files
         would look new to the streams that follow the table.
 
-        ``rebalance`` is for bulk loads: rows are gathered by partition, and
-        Spark splits a date that holds much of the data over several files.
-        ``row_count``, where it is known, keeps the files of a small batch few.
+        Rows are gathered by partition and files cut by size, so a small batch
+        makes few and a date that holds much of the data several.
+        ``row_count``, where it is known, is noted in the log.
         """
         if self.is_committed(table, batch_id):
             return
-        if row_count is not None and not rebalance:
-            df = df.coalesce(1 + row_count // ROWS_PER_FILE)
-        self._store(df, table, batch_id, partition_by, rebalance)
+        self._store(df, table, batch_id, partition_by)
         self._commit(table, batch_id, APPEND, row_count=row_count)
 
     def replace_from(
@@ -117,7 +111,7 @@ class Warehouse:
         The old rows stay visible until the new ones are completely written.
         """
         kept = df.filter(F.col("event_date") >= F.lit(from_date))
-        self._store(kept, table, batch_id, partition_by, rebalance=True)
+        self._store(kept, table, batch_id, partition_by)
         self._commit(table, batch_id, REPLACE, from_date=from_date)
 
     def rollback(self, table: str, to: datetime) -> None:
@@ -125,7 +119,7 @@ class Warehouse:
         stamp = f"rollback-{utc_now():%Y%m%dT%H%M%S%f}"
         self._commit(table, stamp, ROLLBACK, restored_to=to)
 
-    def _store(self, df, table, batch_id, partition_by, rebalance) -> None:
+    def _store(self, df, table, batch_id, partition_by=None) -> None:
         schema = TABLES.get(table)
         partition_by = partition_by or PARTITIONS.get(table, ("event_date",))
         if schema is not None:
@@ -133,10 +127,9 @@ class Warehouse:
             if missing:
                 raise SchemaDrift(f"{table} needs the columns {missing}")
             df = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
-        if rebalance:
-            df = df.hint("rebalance", *partition_by)
         (
-            df.withColumn("batch_id", F.lit(batch_id))
+            df.hint("rebalance", *partition_by)
+            .withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by, "batch_id")
@@ -163,13 +156,6 @@ class Warehouse:
 
     # Reading.
 
-    def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.schema(StructType()).parquet(self.path(table)).schema
-        except AnalysisException:
-            return False
-        return True
-
     def commits(self, table: str) -> DataFrame:
         """The commit log of a table."""
         name = f"{COMMIT_LOG}/{table}"
@@ -247,9 +233,14 @@ class Warehouse:
         return rows.drop("batch_id", "before_date")
 
     def register(self, table: str, database: str | None = None) -> None:
-        """Add a catalog entry for a table, so that SQL can name it."""
+        """Add a catalog entry for a table, or the partitions made since.
+
+        The entry is the folder: it also shows batches that were replaced or rolled
+        back. Use :meth:`create_views` for what readers should see.
+        """
         name = f"{database}.{table}" if database else table
         if self.spark.catalog.tableExists(name):
+            self.spark.catalog.recoverPartitions(name)
             return
         schema = _with_batch(TABLES[table])
         partitions = ", ".join([*PARTITIONS.get(table, ("event_date",)), "batch_id"])

@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
 from revwatch.schemas import BRONZE, BRONZE_TABLE, SILVER, SILVER_TABLE
 
+#: Batches so named put earlier rows in place again; a stream has delivered those already.
+REPLAY = "replay_"
+
 BRONZE_WATERMARK = "1 hour"
 # Backfilled records share their coordinates, so the id belongs to the key.
 RECORD_KEY = ["kafka_topic", "kafka_partition", "kafka_offset", "meta_id"]
 
 
 def _follow(spark: SparkSession, path: str, schema, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(StructType([*schema.fields, StructField("batch_id", StringType())]))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    # The batch is a partition, so files of replays are not read.
+    fresh = ~F.startswith(F.col("batch_id"), F.lit(REPLAY))
+    return reader.parquet(path).where(fresh).select(*schema.fieldNames())
 
 
 def follow_bronze(
@@ -35,8 +43,9 @@ def follow_silver(
 ) -> DataFrame:
     """New Silver rows, each queue record once.
 
-    A file stream sees the files of a batch that was written twice as new files;
-    within the watermark the record key drops the second copy.
+    Appended batches are followed, replays are not. A file stream sees the files of a
+    batch that was written twice as new files; within the watermark the record key drops
+    the second copy.
     """
     rows = _follow(spark, f"{root}/{SILVER_TABLE}", SILVER, max_files)
     rows = rows.withWatermark("ingestion_timestamp", watermark)

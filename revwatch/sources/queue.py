@@ -58,9 +58,12 @@ def from_offsets(offsets: str | dict) -> Column:
     """Condition on Bronze rows: at or behind the given ``{topic: {partition: offset}}``.
 
     As for a subscription, ``-2`` stands for the earliest offset; a partition
-    that is not listed is read from its beginning.
+    that is not listed is read from its beginning. ``-1``, the latest offset, has no
+    meaning for stored rows and is refused.
     """
     given = json.loads(offsets) if isinstance(offsets, str) else offsets
+    if any(int(o) == -1 for partitions in given.values() for o in partitions.values()):
+        raise ValueError("-1 (latest) selects nothing among stored rows")
     keep = F.lit(False)
     for topic, partitions in given.items():
         start = F.lit(0).cast("bigint")

@@ -20,11 +20,14 @@ from revwatch.schemas import (
     SILVER_TABLE,
 )
 from revwatch.sinks.landing import write_topics
-from revwatch.sinks.layers import batch_writer
+from revwatch.sinks.layers import batch_writer, stream_batch_id
 from revwatch.sinks.warehouse import Warehouse
 from revwatch.sources.allowlist import Needle
 from revwatch.sources.layers import follow_bronze, follow_silver
 
+#: Files a job takes up in one trigger, so that a first start does not read all history at once.
+FILES_PER_TRIGGER = 1_000
+
 # Trigger intervals.
 BRONZE_TRIGGER, SILVER_TRIGGER, GOLD_TRIGGER = "2 minutes", "10 minutes", "10 minutes"
 
@@ -68,15 +71,19 @@ def start_ingest(
     checkpoint: str,
     interval: str = BRONZE_TRIGGER,
     once: bool = False,
+    match_strategy: str = "broadcast",
 ) -> StreamingQuery:
-    """Route raw records and store the messages of all three topics."""
-    messages = queue_records(route_events(records, allowlist))
+    """Route raw records and store the messages of all three topics.
+
+    Matching happens in the micro-batch, where either strategy works; a list too long
+    for ``broadcast`` asks for ``match_strategy="grams"``.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        write_topics(warehouse, batch, f"ingest_{query[:8]}_{number}")
+        messages = queue_records(route_events(batch, allowlist, match_strategy=match_strategy))
+        write_topics(warehouse, messages, stream_batch_id(batch, "ingest", number))
 
-    return start(messages, write, checkpoint, interval, "ingest", once)
+    return start(records, write, checkpoint, interval, "ingest", once)
 
 
 def start_bronze(
@@ -99,7 +106,7 @@ def start_silver(
     gate: QualityGate | None = silver_gate(),
     interval: str = SILVER_TRIGGER,
     once: bool = False,
-    max_files: int | None = None,
+    max_files: int | None = FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """The raw table to the cleaned table."""
     bronze = follow_bronze(warehouse.spark, warehouse.root, max_files=max_files)
@@ -113,7 +120,7 @@ def start_gold(
     gate: QualityGate | None = gold_gate(),
     interval: str = GOLD_TRIGGER,
     once: bool = False,
-    max_files: int | None = None,
+    max_files: int | None = FILES_PER_TRIGGER,
     families: Sequence[str] = ("entity", "user", "global"),
 ) -> list[StreamingQuery]:
     """The cleaned table to the metric tables: one query per family."""

@@ -109,8 +109,9 @@ def test_plan_choice_by_length(spark, monkeypatch):
 
     assert "strategy=broadcast" in plan(match_entity(frame, listed))
     monkeypatch.setattr(matching, "BROADCAST_NEEDLES", 59)
-    assert "strategy=broadcast" not in plan(match_entity(frame, listed))
-    with pytest.raises(ValueError):
-        match_entity(frame, listed, strategy="broadcast")
+    for strategy in (None, "broadcast"):
+        with pytest.raises(ValueError):
+            match_entity(frame, listed, strategy=strategy)
+    assert "strategy=broadcast" not in plan(match_entity(frame, listed, strategy="grams"))
     with pytest.raises(ValueError):
         match_entity(frame, allowlist_frame(spark, listed), strategy="broadcast")

@@ -149,7 +149,7 @@ def test_gold_counts_a_rewritten_batch_once(spark, lake, tmp_path):
     checkpoint = f"{tmp_path}/cp"
     await_all(spark, start_gold(lake, checkpoint, once=True, families=["global"]), once=True)
     # The files of a batch written once more are new to the stream.
-    lake._store(rows, SILVER_TABLE, "silver_0", None, False)
+    lake._store(rows, SILVER_TABLE, "silver_0")
     closing = silver_rows(spark, {"meta_id": "end", "kafka_offset": 99, "ingestion_timestamp": START + dt.timedelta(hours=5)})
     lake.append(closing, SILVER_TABLE, "silver_1")
     await_all(spark, start_gold(lake, checkpoint, once=True, families=["global"]), once=True)

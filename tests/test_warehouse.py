@@ -64,7 +64,7 @@ def test_small_batches_make_few_files(spark, warehouse):
 
 def test_uncommitted_batch_is_invisible(spark, warehouse):
     warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
-    warehouse._store(some(spark, "b"), SILVER_TABLE, "q_1", None, False)
+    warehouse._store(some(spark, "b"), SILVER_TABLE, "q_1")
     assert ids(warehouse.read(SILVER_TABLE)) == ["a"]
     assert ids(warehouse.read(SILVER_TABLE, committed=False)) == ["a", "b"]
 
@@ -211,9 +211,90 @@ def test_replay_silver_and_gold(spark, warehouse):
         assert warehouse.read(table).count() == 1
     recovery.replay_gold(warehouse, DAY)
     assert warehouse.read(GOLD_ENTITY_TABLE).count() == want.count()
-    # From a queue position: only the later rows are added again.
+    # From a queue position: Silver holds the later rows already, all but the broken one.
     more = recovery.replay_silver(warehouse, DAY, offsets={"edits": {"0": 4}})
-    assert more["total_count"] == 3
+    assert (more["total_count"], more["passed_count"]) == (1, 0)
+    assert ids(warehouse.read(SILVER_TABLE)) == [f"m{i}" for i in range(6)]
+
+
+def test_replay_by_offsets_adds_what_is_missing(spark, warehouse):
+    from test_silver import bronze, record
+
+    texts = [record(meta={"id": f"m{i}"}, title="T", length={"new": 5}) for i in range(6)]
+    warehouse.append(bronze(spark, *texts), "bronze_events", "b_0")
+    recovery.replay_silver(warehouse, DAY)
+    lost = warehouse.read(SILVER_TABLE).filter("meta_id <> 'm5'").cache()
+    warehouse.replace_from(lost, SILVER_TABLE, "replay_lost", DAY)
+    for _ in range(2):
+        recovery.replay_silver(warehouse, DAY, offsets={"edits": {"0": 0}})
+        assert ids(warehouse.read(SILVER_TABLE)) == [f"m{i}" for i in range(6)]
+
+
+def test_replay_from_a_date_knows_ids_of_the_hour_before(spark, warehouse):
+    from test_silver import bronze, record
+
+    late = dt.datetime.combine(DAY, dt.time(0, 1))
+    early = late - dt.timedelta(minutes=2)
+    text = record(meta={"id": "twice"}, title="T", length={"new": 5})
+
+    def at(moment, batch, *texts):
+        rows = bronze(spark, *texts).withColumn("ingestion_timestamp", F.lit(moment))
+        warehouse.append(rows.withColumn("event_date", F.lit(moment.date())), "bronze_events", batch)
+
+    at(early, "b_0", text)
+    at(late, "b_1", text, record(meta={"id": "once"}, title="T", length={"new": 5}))
+    recovery.replay_silver(warehouse, DAY)
+    assert "twice" not in ids(warehouse.read(SILVER_TABLE))
+
+
+def test_replay_gold_leaves_open_windows_to_the_stream(spark, warehouse):
+    from revwatch.operators.gold import entity_metrics
+
+    rows = some(spark, "a", ingestion_timestamp=NOW).unionByName(
+        some(spark, "b", ingestion_timestamp=NOW + dt.timedelta(minutes=10))
+    )
+    warehouse.append(rows, SILVER_TABLE, "s_0")
+    closed = entity_metrics(warehouse.read(SILVER_TABLE)).orderBy("window_end").limit(1)
+    warehouse.append(closed, GOLD_ENTITY_TABLE, "g_0")
+    last = closed.first().window_end
+    recovery.replay_gold(warehouse, DAY, families=("entity",))
+    assert [r.window_end for r in warehouse.read(GOLD_ENTITY_TABLE).collect()] == [last]
+    with pytest.raises(ValueError):
+        recovery.replay_gold(warehouse, DAY, families=("entity",), window="7 hours")
+
+
+def test_streams_skip_replays(spark, warehouse, tmp_path):
+    from revwatch.sources.layers import follow_silver
+
+    warehouse.append(some(spark, "a", kafka_offset=1), SILVER_TABLE, "silver_q_0")
+    warehouse.append(some(spark, "again", kafka_offset=2), SILVER_TABLE, "replay_1")
+    warehouse.append(some(spark, "repaired", kafka_offset=3), SILVER_TABLE, "reprocess_1")
+    seen = []
+    query = follow_silver(spark, warehouse.root).writeStream.foreachBatch(
+        lambda batch, _: seen.extend(r.meta_id for r in batch.collect())
+    )
+    query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == ["a", "repaired"]
+
+
+def test_a_broken_table_is_not_empty(spark, warehouse, tmp_path):
+    folder = tmp_path / "lake" / SILVER_TABLE / "event_date=2026-01-27" / "batch_id=x"
+    folder.mkdir(parents=True)
+    (folder / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        warehouse.read(SILVER_TABLE, committed=False).collect()
+
+
+def test_catalog_entry_follows_new_batches(spark, warehouse):
+    warehouse.append(some(spark, "a"), SILVER_TABLE, "q_0")
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake_more")
+    try:
+        warehouse.register(SILVER_TABLE, "lake_more")
+        warehouse.append(some(spark, "b"), SILVER_TABLE, "q_1")
+        warehouse.register(SILVER_TABLE, "lake_more")
+        assert spark.table(f"lake_more.{SILVER_TABLE}").count() == 2
+    finally:
+        spark.sql("DROP DATABASE lake_more CASCADE")
 
 
 def test_reprocess_quarantine(spark, warehouse):
@@ -224,6 +305,11 @@ def test_reprocess_quarantine(spark, warehouse):
     metrics = recovery.reprocess_quarantine(warehouse, chosen, gate=silver_gate(max_lag_seconds=7200))
     assert (metrics["passed_count"], metrics["failed_count"]) == (1, 0)
     assert ids(warehouse.read(SILVER_TABLE)) == ["late"]
+    # The same selection again, and a wider one that holds it, add nothing.
+    recovery.reprocess_quarantine(warehouse, chosen, gate=silver_gate(max_lag_seconds=7200))
+    every = warehouse.read("silver_quarantine")
+    recovery.reprocess_quarantine(warehouse, every, gate=silver_gate(max_lag_seconds=7200))
+    assert ids(warehouse.read(SILVER_TABLE)) == ["late"]
 
 
 def test_offsets(spark):
@@ -231,6 +317,8 @@ def test_offsets(spark):
                                  "kafka_topic string, kafka_partition int, kafka_offset bigint")
     assert rows.filter(from_offsets({"t": {"0": 10}})).count() == 2
     assert rows.filter(from_offsets('{"t": {"0": -2}, "u": {}}')).count() == 4
+    with pytest.raises(ValueError):
+        from_offsets({"t": {"0": -1}})
 
 
 def test_queue_options():
