@@ -498,6 +498,36 @@ def oracle() -> dict[str, str]:
              AND event_type IN ('edit', 'new', 'log', 'categorize')
              AND processing_lag_seconds BETWEEN 0 AND 7200""",
         "constraint_suite_edits": _suite_sql(f"{BASE},", "derived", SILVER_CHECKS),
+        "constraint_suite_bronze": _suite_sql(
+            "WITH",
+            "events",
+            {
+                **_complete("event_id"),
+                "CompletenessConstraint(event_data)": "props IS NOT NULL",
+                "CompletenessConstraint(kafka_topic)": "true",
+                "CompletenessConstraint(event_date)": "ts IS NOT NULL",
+                "CompletenessConstraint(ingestion_timestamp)": "ts IS NOT NULL",
+                **_complies("kafka_partition is non-negative", "coalesce(event_id % 3, 0) >= 0"),
+                **_complies("kafka_offset is non-negative", "coalesce(floor(event_id / 3), 0) >= 0"),
+            },
+        ),
+        "constraint_suite_gold": _suite_sql(
+            f"{_entity(HOUR)},", "entity", _complies("total_events is non-negative", "coalesce(total_events, 0) >= 0")
+        ),
+        "quarantine_counts_checks": f"""{BASE}
+            SELECT {REASONS} AS quarantine_reason,
+             CASE WHEN event_date < DATE '2024-01-15' THEN '["SizeConstraint"]'
+              ELSE '["SizeConstraint", "CompletenessConstraint(title)"]' END AS failed_checks, count(*) AS rows
+            FROM judged WHERE NOT ok GROUP BY 1, 2""",
+        "backlog_levels": """
+            SELECT query_name, offsets_behind, CASE WHEN offsets_behind > 100000 THEN 'CRITICAL'
+             WHEN offsets_behind > 10000 THEN 'WARNING' ELSE 'OK' END AS level
+            FROM (SELECT event_type AS query_name, arg_max(user_id * 1000, {'t': ts, 'i': event_id}) AS offsets_behind
+                  FROM events GROUP BY 1)""",
+        "lag_level": f"""{BASE}, l AS (
+             SELECT CAST(epoch({_NOW}) - epoch(max(ingestion_timestamp)) AS BIGINT) AS lag_seconds FROM derived)
+            SELECT 'bronze' AS layer, lag_seconds, CASE WHEN lag_seconds > 900 THEN 'CRITICAL'
+             WHEN lag_seconds > 300 THEN 'WARNING' ELSE 'OK' END AS level FROM l""",
         "constraint_suite_orders": _suite_sql(
             "WITH",
             "orders",
@@ -533,6 +563,18 @@ def oracle() -> dict[str, str]:
             SELECT 'lag', 'bronze', CASE WHEN epoch({_NOW}) - max(arrival) > 900 THEN 'CRITICAL'
              WHEN epoch({_NOW}) - max(arrival) > 300 THEN 'WARNING' ELSE 'OK' END FROM records""",
         "entity_metrics": f"{_entity(DAY)} SELECT * FROM entity",
+        "entity_sketch_bounds": f"""{_entity(DAY)}
+            SELECT window_start, entity, wiki, true AS unique_editors_near,
+             true AS unique_anonymous_editors_near FROM entity""",
+        "user_sketch_bounds": f"""{_user(DAY)}
+            SELECT window_start, user_name, is_bot, is_anonymous, true AS entities_edited_near,
+             true AS wikis_touched_near FROM users""",
+        "global_sketch_bounds": f"""{_global(12 * HOUR)}
+            SELECT window_start, true AS unique_users_near, true AS unique_entities_near,
+             true AS unique_wikis_near FROM site""",
+        "quantile_bounds_lineitem": """
+            SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity',
+             'l_extendedprice', 'l_discount', 'l_tax']) AS column_name, 'true,true,true,true,true' AS near""",
         "entity_metrics_10min": f"{_entity(TEN_MINUTES)} SELECT * FROM entity",
         "entity_risk_score": f"""{_entity(HOUR)}
             SELECT window_start, entity, wiki, events_zscore, revert_ratio, anonymous_ratio,
@@ -599,12 +641,19 @@ def oracle() -> dict[str, str]:
             SELECT 'o_orderstatus', count(*), count(o_orderstatus), count(*) - count(o_orderstatus),
              count(DISTINCT o_orderstatus), min(o_orderstatus), max(o_orderstatus), NULL, NULL FROM orders
             UNION ALL
+            SELECT 'o_orderdate', count(*), count(o_orderdate), count(*) - count(o_orderdate),
+             count(DISTINCT o_orderdate), CAST(min(o_orderdate) AS VARCHAR),
+             CAST(max(o_orderdate) AS VARCHAR), NULL, NULL FROM orders
+            UNION ALL
             SELECT 'o_orderpriority', count(*), count(o_orderpriority),
              count(*) - count(o_orderpriority), count(DISTINCT o_orderpriority),
              min(o_orderpriority), max(o_orderpriority), NULL, NULL FROM orders""",
         "top_values_orders": """
             WITH v AS (
              SELECT 'o_custkey' AS column_name, CAST(o_custkey AS VARCHAR) AS value FROM orders
+             UNION ALL SELECT 'o_orderkey', CAST(o_orderkey AS VARCHAR) FROM orders
+             UNION ALL SELECT 'o_totalprice', CAST(o_totalprice AS VARCHAR) FROM orders
+             UNION ALL SELECT 'o_orderdate', CAST(o_orderdate AS VARCHAR) FROM orders
              UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders
              UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders
             ), c AS (

@@ -358,6 +358,47 @@ def constraint_suite_edits(spark, sf_dir):
     return _suite(_derived(spark, sf_dir), quality.silver_constraints())
 
 
+@query
+def constraint_suite_bronze(spark, sf_dir):
+    """The raw layer's constraints over queue records of all events."""
+    return _suite(bronze_projection(spark, sf_dir), quality.bronze_constraints())
+
+
+@query
+def constraint_suite_gold(spark, sf_dir):
+    """The metric layer's constraints over hourly page metrics."""
+    return _suite(_entity(spark, sf_dir, "1 hour"), quality.gold_constraints())
+
+
+@query
+def quarantine_counts_checks(spark, sf_dir):
+    """Quarantined rows per reason and failed constraints, of two batches that failed different ones."""
+    failed = quality.silver_gate().flag(_derived(spark, sf_dir)).filter(~F.col(quality.PASS_FLAG))
+    early = F.col("event_date") < F.lit(REPLAY_FROM)
+    first = quality.quarantine_rows(failed.filter(early), "silver_0", ["SizeConstraint"], now=F.lit(NOW))
+    second = quality.quarantine_rows(
+        failed.filter(~early), "silver_1", ["SizeConstraint", "CompletenessConstraint(title)"], now=F.lit(NOW)
+    )
+    return serving.quarantine_counts(first.unionByName(second), with_checks=True)
+
+
+@query
+def backlog_levels(spark, sf_dir):
+    """Alarm level of each query's newest progress; an event stands for a progress report."""
+    progress = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("query_name"),
+        F.struct("ts", "event_id").alias("progress_time"),
+        (F.col("user_id") * 1000).alias("offsets_behind"),
+    )
+    return serving.backlog_watch(progress)
+
+
+@query
+def lag_level(spark, sf_dir):
+    """Alarm level of the raw layer's lag."""
+    return serving.lag_watch(edit_records(_events(spark, sf_dir)), now=F.lit(NOW))
+
+
 @query
 def constraint_suite_orders(spark, sf_dir):
     constraints = [
@@ -513,6 +554,67 @@ def global_metrics_approx(spark, sf_dir):
     return gold.global_metrics(_cleaned(spark, sf_dir), "12 hours").drop(CLOCK)
 
 
+#: Relative error of the distinct sketches, and how many times it a count may be off.
+SKETCH_ERROR, SKETCH_TIMES = 0.05, 4
+
+
+def _within(build, rows, window, keys, counts):
+    """Per group: is each sketched distinct count near the exact one?"""
+    exact = build(rows, window, exact_distinct=True).select(*keys, *(F.col(c).alias(f"exact_{c}") for c in counts))
+    sketched = build(rows, window).select(*(F.col(k).alias(f"k_{k}") for k in keys), *counts)
+    same = [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys]
+    near = (
+        (
+            F.abs(F.col(c) - F.col(f"exact_{c}"))
+            <= F.greatest(F.lit(1.0), SKETCH_TIMES * SKETCH_ERROR * F.col(f"exact_{c}"))
+        ).alias(f"{c}_near")
+        for c in counts
+    )
+    return exact.join(sketched, same).select(*keys, *near)
+
+
+@query
+def entity_sketch_bounds(spark, sf_dir):
+    keys, counts = ("window_start", "entity", "wiki"), ("unique_editors", "unique_anonymous_editors")
+    return _within(gold.entity_metrics, _cleaned(spark, sf_dir), "1 day", keys, counts)
+
+
+@query
+def user_sketch_bounds(spark, sf_dir):
+    keys = ("window_start", "user_name", "is_bot", "is_anonymous")
+    return _within(gold.user_metrics, _cleaned(spark, sf_dir), "1 day", keys, ("entities_edited", "wikis_touched"))
+
+
+@query
+def global_sketch_bounds(spark, sf_dir):
+    counts = ("unique_users", "unique_entities", "unique_wikis")
+    return _within(gold.global_metrics, _cleaned(spark, sf_dir), "12 hours", ("window_start",), counts)
+
+
+@query
+def quantile_bounds_lineitem(spark, sf_dir):
+    """Is each quantile of the profile within its accuracy by rank? A row per numeric column."""
+    rows = table(spark, sf_dir, "lineitem")
+    found = profile.column_profile(rows).where("quantiles IS NOT NULL").select("column_name", "quantiles").collect()
+    slack = 2 / 1_000  # the profile's accuracy, on either side
+
+    def near(name, at, value):
+        below = F.count_if(F.col(name).cast("double") < value) / F.count(name)
+        up_to = F.count_if(F.col(name).cast("double") <= value) / F.count(name)
+        return (below <= at + slack) & (up_to >= at - slack)
+
+    checks = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.array(*(near(name, at, v) for at, v in zip(profile.QUANTILES, values))).alias("near"),
+        )
+        for name, values in found
+    ]
+    return rows.agg(F.array(*checks).alias("checks")).select(F.inline("checks")).select(
+        "column_name", F.array_join(F.col("near").cast("array<string>"), ",").alias("near")
+    )
+
+
 # Serving. ------------------------------------------------------------------------------
 
 
@@ -589,10 +691,7 @@ def as_of_read(spark, sf_dir):
 
 @query
 def column_profile_orders(spark, sf_dir):
-    wanted = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    found = profile.column_profile(
-        table(spark, sf_dir, "orders"), wanted, exact_distinct=True, quantiles=()
-    )
+    found = profile.column_profile(table(spark, sf_dir, "orders"), exact_distinct=True, quantiles=())
     return found.select(
         "column_name", "rows", "present", "missing", "distinct_values", "min_value", "max_value",
         F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"),
@@ -607,8 +706,7 @@ def column_profile_lineitem(spark, sf_dir):
 
 @query
 def top_values_orders(spark, sf_dir):
-    wanted = ("o_custkey", "o_orderstatus", "o_orderpriority")
-    return profile.top_values(table(spark, sf_dir, "orders"), wanted, k=5)
+    return profile.top_values(table(spark, sf_dir, "orders"), k=5)
 
 
 # Streams. ------------------------------------------------------------------------------
