@@ -444,6 +444,19 @@ def oracle() -> dict[str, str]:
              CAST(CASE WHEN fault = 'good' THEN wikimedia_id ELSE rid END AS VARCHAR) AS key,
              '2024-02-01T00:00:00.000000' AS stamp
             FROM routed WHERE fault IN ('good', 'no_title', 'null_title')""",
+        "match_tables_shuffled": """
+            WITH names AS (SELECT 'part' AS wiki, p_name AS title, p_partkey AS rid FROM part
+             UNION ALL SELECT 'page', url, page_id FROM pages),
+            lists AS (SELECT DISTINCT 'part' AS wiki, 0 AS kind, string_split(p_name, ' ')[-1] AS raw FROM part
+             UNION ALL SELECT DISTINCT 'page', 0, regexp_extract(url, '://([^/]*)', 1) FROM pages
+             UNION ALL SELECT DISTINCT 'page', 1, regexp_extract(url, '(/[a-z][a-z]/)', 1) FROM pages),
+            needles AS (SELECT *, trim(replace(replace(lower(raw), '_', ' '), '  ', ' ')) AS needle FROM lists WHERE raw <> ''),
+            found AS (SELECT n.wiki, title, rid, raw, row_number() OVER (PARTITION BY n.wiki, rid
+                ORDER BY raw <> title, kind, -length(raw), raw) AS place
+             FROM (SELECT *, trim(replace(replace(lower(title), '_', ' '), '  ', ' ')) AS name FROM names) n
+             JOIN needles l ON n.wiki = l.wiki AND (contains(name, needle) OR contains(needle, name)))
+            SELECT names.wiki, names.title, rid, names.wiki || ':' || raw AS canonical_entity
+            FROM names LEFT JOIN (SELECT * FROM found WHERE place = 1) USING (wiki, rid)""",
         "allowlist_match": _MATCH,
         "allowlist_match_shuffled": _MATCH,
         "silver_derived": f"""{BASE}

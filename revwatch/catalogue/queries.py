@@ -189,6 +189,32 @@ def allowlist_match_shuffled(spark, sf_dir):
     return _matched(spark, sf_dir, "grams")
 
 
+@query
+def match_tables_shuffled(spark, sf_dir):
+    """Part names and page addresses against needle lists made from the tables themselves."""
+    parts = table(spark, sf_dir, "part").select(
+        F.lit("part").alias("wiki"), F.col("p_name").alias("title"), F.col("p_partkey").alias("rid")
+    )
+    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("wiki"), F.col("url").alias("title"), F.col("page_id").alias("rid"))
+    texts = {
+        ("part", 0): parts.select(F.substring_index("title", " ", -1)),
+        ("page", 0): pages.select(F.regexp_extract("title", "://([^/]*)", 1)),
+        ("page", 1): pages.select(F.regexp_extract("title", "(/[a-z][a-z]/)", 1)),
+    }
+    lists = [
+        text.toDF("raw").where("raw <> ''").distinct().select(F.lit(wiki).alias("wiki"), "raw", F.lit(kind).alias("kind"))
+        for (wiki, kind), text in texts.items()
+    ]
+    needles = lists[0].unionByName(lists[1]).unionByName(lists[2]).select(
+        "*",
+        # Where several needles of a kind fit, the longest comes first, then by text.
+        F.struct((-F.length("raw")).alias("length"), "raw").alias("position"),
+        F.concat("wiki", F.lit(":"), "raw").alias("canonical"),
+        matching.normalize_title(F.col("raw")).alias("needle"),
+    )
+    return matching.match_entity(parts.unionByName(pages), needles)
+
+
 # Cleaned layer. ------------------------------------------------------------------------
 
 DERIVED = (

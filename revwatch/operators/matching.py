@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revwatch.functions.text import contains_either_way, normalize_title
+from revwatch.session import written_once
 from revwatch.sources.allowlist import Needle
 
 #: Longest list that is broadcast: at 10,000 needles the row is a few MB.
@@ -152,12 +153,17 @@ def _rarest_gram(texts: DataFrame, text: str, grams: DataFrame) -> DataFrame:
 def _match_by_grams(
     df: DataFrame, needles: DataFrame, title: str, wiki: str, output: str
 ) -> DataFrame:
-    """Shuffled plan: match the distinct titles, then give the result to their rows."""
-    names = (
+    """Shuffled plan: match the distinct titles, then give the result to their rows.
+
+    The distinct titles are written to the shared folder, so that the input is read once
+    for them and once for the result, whatever the number of branches below.
+    """
+    names = written_once(
         df.select(F.col(wiki).alias("_w"), F.col(title).alias("_t"))
         .filter("_w IS NOT NULL AND _t IS NOT NULL")
         .distinct()
-        .withColumn("_n", normalize_title(F.col("_t")))
+        .withColumn("_n", normalize_title(F.col("_t"))),
+        "titles",
     )
     # Titles before aliases, then by place in the list.
     rank = F.struct("kind", "position", "canonical")
@@ -192,12 +198,12 @@ def _match_by_grams(
     long_titles = spelled.filter(F.length("_n") >= GRAM)
     around = verified(_rarest_gram(long_titles, "_n", of_needles), of_needles)
 
-    # An empty text is contained in everything of its wiki.
-    of_wiki = best.groupBy("_w").agg(
-        F.min("_r").alias("_any"), F.min(F.when(F.col("needle") == "", F.col("_r"))).alias("_blank")
-    )
-    reached = F.when(F.col("_n") == "", F.col("_any")).otherwise(F.col("_blank"))
-    blank = spelled.join(of_wiki, "_w").select("_w", "_n", reached.alias("_r")).filter("_r IS NOT NULL")
+    # An empty text is contained in everything of its wiki. Only empty titles, and wikis
+    # that list an empty needle, take part.
+    of_wiki = best.groupBy("_w").agg(F.min("_r").alias("_r"))
+    empty = spelled.filter("_n = ''").join(of_wiki, "_w").select("_w", "_n", "_r")
+    listed = best.filter("needle = ''").select("_w", "_r")
+    blank = spelled.filter("_n <> ''").join(listed, "_w").select("_w", "_n", "_r").unionByName(empty)
 
     loose = inside.unionByName(short).unionByName(around).unionByName(blank)
     by_spelling = loose.groupBy("_w", "_n").agg(F.min("_r").alias("_loose"))

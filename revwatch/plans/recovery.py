@@ -13,7 +13,7 @@ from revwatch.functions.columns import computed_once
 from revwatch.operators.quality import QualityGate, bronze_gate, silver_gate
 from revwatch.operators.silver import bronze_to_silver, derive, to_silver
 from revwatch.schemas import BRONZE_TABLE, SILVER, SILVER_TABLE
-from revwatch.session import shared_folder
+from revwatch.session import written_once
 from revwatch.sinks.layers import record_metrics, write_batch, write_quarantine
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.layers import RECORD_KEY
@@ -29,16 +29,10 @@ def run_id(name: str) -> str:
     return f"{name}_{utc_now():%Y%m%dT%H%M%S%f}"
 
 
-def written_down(df: DataFrame, purpose: str) -> DataFrame:
-    """Store a frame in the shared folder and read it back.
-
-    A bulk run looks at its rows three times (statistics, good rows, bad rows).
-    A written table is computed once, is read column by column, survives lost
-    executors, and does not need the memory a cache would.
-    """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# A bulk run looks at its rows three times (statistics, good rows, bad rows). A written
+# table is computed once, is read column by column, survives lost executors, and does not
+# need the memory a cache would.
+written_down = written_once
 
 
 def backfill_bronze(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the results depend on; safe to apply to a running session.
 REQUIRED_CONF = {
@@ -54,6 +54,13 @@ def get_spark(app_name: str = "revwatch", **conf: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder, for plans that use them several times."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run, below the folder every executor can reach.
 
