@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from revwatch.catalogue.records import (
     edit_records,
-    follow_table,
+    follow_events,
     queue_shaped,
     raw_texts,
     table,
@@ -768,7 +768,7 @@ STREAMED_GLOBAL = (
 
 
 def _stream_rows(spark, sf_dir):
-    return silver.derive(edit_records(follow_table(spark, sf_dir, "events")))
+    return silver.derive(edit_records(follow_events(spark, sf_dir)))
 
 
 @query

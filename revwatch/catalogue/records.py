@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revwatch.session import shared_folder
+
 #: Columns of the map in SQL that both engines read; ``{epoch}`` is the whole second.
 RECORD_COLUMNS = {
     "rid": "event_id",
@@ -80,10 +82,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def follow_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stream of a table's files; the table may be one file or a folder of them."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+def follow_events(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
+    """The ``events`` table as a stream of files, one to a trigger, in order of arrival.
+
+    A last file brings the rows of the first once more: they are older than the watermark
+    by then, so a stream has to drop them as late.
+    """
+    events = table(spark, sf_dir, "events")
+    seconds = (F.expr(RECORD_COLUMNS[name].format(epoch=SPARK_EPOCH)) for name in ("event_timestamp", "lag_s"))
+    arrived = events.withColumn("_arrival", next(seconds) + next(seconds))
+    shares = [i / files for i in range(1, files)]
+    cuts = arrived.agg(F.percentile_approx("_arrival", shares)).first()[0] or []
+    bounds = [None, *cuts, None]
+    folder = shared_folder(spark, "event-files")
+    for low, high in [*zip(bounds, bounds[1:]), (None, bounds[1])]:
+        part = arrived if low is None else arrived.where(F.col("_arrival") > low)
+        part = part if high is None else part.where(F.col("_arrival") <= high)
+        part.drop("_arrival").write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def edit_records(events: DataFrame) -> DataFrame:
