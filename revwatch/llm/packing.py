@@ -16,7 +16,7 @@ import re
 import zlib
 from array import array
 from bisect import bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +31,7 @@ from revwatch.llm.common import written
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker keeps (about 200 bytes each); a full store is emptied.
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 500_000
 #: Words that are looked up together.
 GROUP_WORDS = 4_000
 _SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python alone
@@ -83,7 +83,7 @@ class WordTokens:
     def _ids(self, words: list[str]) -> bytes:
         return b"".join(map(self.known.__getitem__, words))
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         group: list[list[str]] = []
         size = 0
@@ -128,14 +128,15 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows, out = [], []
-            texts = [t.as_py() or "" for t in batch.column("text")]
+            texts = (t.as_py() or "" for t in batch.column("text"))
             for row, ids in enumerate(tokens.encode(texts)):
                 data = ids + tail
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at : at + 4 * capacity]
                     size = len(own) // 4
                     rows.append(row)
-                    out.append((piece, at // 4, size, zlib.crc32(own), chunk, int(seen[size]), own))
+                    kept = own if keep_ids else None
+                    out.append((piece, at // 4, size, zlib.crc32(own), chunk, int(seen[size]), kept))
                     seen[size] += 1
             columns = list(zip(*out, strict=True)) if out else [[]] * 7
             kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()][: 6 + keep_ids]
