@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revwatch.llm.common import importable, table, written
 from revwatch.llm.decontaminate import find_contamination
 from revwatch.llm.packing import pack
-from revwatch.llm.quality import quality_rules, without_lines
+from revwatch.llm.quality import apply_rules, quality_rules
 from revwatch.llm.simhash import near_duplicates
 from revwatch.llm.templates import drop_templates
 
@@ -31,8 +31,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose the lines that are frequent on their host."""
-    judged = quality_rules(docs, carry=("text", *_REST)).where("kept")
-    return _documents(judged.withColumn("text", without_lines(F.col("text"), F.col("frequent"))))
+    return _documents(apply_rules(docs.select(*COLUMNS), quality_rules(docs)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,29 +100,28 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def quality_rules(
-    docs: DataFrame, limit: int = 20, min_share: float = 0.3, carry: tuple[str, ...] = ()
-) -> DataFrame:
+def row_key() -> list[Column]:
+    """Tells rows of ``docs`` apart, but for repeated ones, which are judged alike."""
+    return [F.xxhash64("doc_id", "source", "text").alias("key"), F.hash("text", "doc_id").alias("key2")]
+
+
+def quality_rules(docs: DataFrame, limit: int = 20, min_share: float = 0.3) -> DataFrame:
     """Statistics, frequent lines and the verdict for ``docs`` (doc_id, text, source).
 
     A line is frequent on a host (``source``; null is a host of its own) if more than
     ``limit`` distinct documents hold it. A document is rejected if the base rules fail
     it or if less than ``min_share`` of its words is left without frequent lines. One
-    row per input row, repeated rows included; a null text is empty and fails. Columns
-    named in ``carry`` go along; any others are ignored.
+    row per input row, repeated rows included; a null text is empty and fails. ``key`` and
+    ``key2`` are the row's :func:`row_key`; other columns are ignored.
     """
     found = text_statistics(
         docs.select(
-            "doc_id",
-            F.coalesce("source", F.lit("")).alias("host"),
-            text_of().alias("text"),
-            *(F.col(c).alias(f"carry_{c}") for c in carry if c != "text"),
+            "doc_id", *row_key(), F.coalesce("source", F.lit("")).alias("host"), text_of().alias("text")
         )
     )
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    kept_text = "text" in carry
     stats = written(
-        (found if kept_text else found.drop("text"))
+        found.drop("text")
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("base_failed", base_failed),
         "quality",
@@ -155,7 +154,6 @@ def quality_rules(
             (~F.col("base_failed") & (left >= min_share * F.col("n_words"))).alias("kept"),
         )
         .drop("row", "host", "words_removed")
-        .withColumnsRenamed({f"carry_{c}": c for c in carry if c != "text"})
     )
 
 
@@ -168,6 +166,27 @@ def without_lines(text: Column, frequent: Column) -> Column:
     return F.when(frequent.isNull(), text).otherwise(F.array_join(keep, "\n"))
 
 
+def apply_rules(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """``docs`` without rejected rows and frequent lines.
+
+    Only the verdicts that change something meet the texts again, which so are written
+    nowhere on the way.
+    """
+    changes = (
+        judged.where(~F.col("kept") | F.col("frequent").isNotNull())
+        .select("key", "key2", F.col("kept").alias("q_kept"), F.col("frequent").alias("q_frequent"))
+        .dropDuplicates(["key", "key2"])
+        .withColumnsRenamed({"key": "q_key", "key2": "q_key2"})
+    )
+    first, second = row_key()
+    return (
+        docs.join(changes, (first == F.col("q_key")) & (second == F.col("q_key2")), "left")
+        .where(F.coalesce("q_kept", F.lit(True)))
+        .withColumn("text", without_lines(F.col("text"), F.col("q_frequent")))
+        .drop("q_key", "q_key2", "q_kept", "q_frequent")
+    )
+
+
 def quality_digest(judged: DataFrame) -> DataFrame:
     """The contract's columns from ``quality_rules``."""
     return judged.select(
