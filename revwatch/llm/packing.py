@@ -309,7 +309,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool =
     )
     counts = {r.length: r.n for r in bases.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(_places(pack_lengths(counts, capacity)))
-    ranked = pieces.join(bases.drop("n"), ["length", "chunk"]).withColumn(
+    # A row per length and task: small as a file, but growing with the corpus, so not broadcast.
+    ranked = pieces.join(bases.drop("n").hint("merge"), ["length", "chunk"]).withColumn(
         "rank", F.col("before") + F.col("ordinal")
     )
     kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else []), "rank"]
