@@ -13,7 +13,7 @@ from revwatch.functions.columns import computed_once
 from revwatch.operators.quality import QualityGate, bronze_gate, silver_gate
 from revwatch.operators.silver import bronze_to_silver, derive, to_silver
 from revwatch.schemas import BRONZE_TABLE, SILVER, SILVER_TABLE
-from revwatch.session import written_once
+from revwatch.session import scratch
 from revwatch.sinks.layers import record_metrics, write_batch, write_quarantine
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.layers import RECORD_KEY
@@ -29,24 +29,20 @@ def run_id(name: str) -> str:
     return f"{name}_{utc_now():%Y%m%dT%H%M%S%f}"
 
 
-# A bulk run looks at its rows three times (statistics, good rows, bad rows). A written
-# table is computed once, is read column by column, survives lost executors, and does not
-# need the memory a cache would.
-written_down = written_once
+# A bulk run looks at its rows three times (statistics, good rows, bad rows), so they are
+# written to the shared folder first: computed once, read column by column, safe if an
+# executor is lost, and without the memory a cache would need. The copy goes with the run.
 
 
 def backfill_bronze(
     warehouse: Warehouse, rows: DataFrame, gate: QualityGate | None = None
 ) -> dict | None:
     """Gate historic Bronze rows and append them, spread evenly over files."""
-    return write_batch(
-        warehouse,
-        BRONZE_TABLE,
-        written_down(rows, "backfill"),
-        run_id("backfill"),
-        gate or bronze_gate(),
-        keep=False,
-    )
+    with scratch(warehouse.spark) as keep:
+        rows = keep(rows, "backfill")
+        return write_batch(
+            warehouse, BRONZE_TABLE, rows, run_id("backfill"), gate or bronze_gate(), keep=False
+        )
 
 
 def _not_stored(rows: DataFrame, warehouse: Warehouse) -> DataFrame:
@@ -77,16 +73,17 @@ def replay_silver(
     silver = bronze_to_silver(bronze).filter(F.col("event_date") >= F.lit(from_date))
     if offsets is not None:
         silver = _not_stored(silver, warehouse)
-    silver = written_down(silver, "replay")
     gate = gate or silver_gate()
-    if offsets is not None:
-        return write_batch(warehouse, SILVER_TABLE, silver, run_id("repair"), gate, keep=False)
-    batch_id = run_id("replay")
-    result = gate.run(silver, batch_id, keep=False)
-    warehouse.replace_from(result.passed, SILVER_TABLE, batch_id, from_date)
-    write_quarantine(warehouse, result)
-    record_metrics(warehouse, result)
-    return result.metrics
+    with scratch(warehouse.spark) as keep:
+        silver = keep(silver, "replay")
+        if offsets is not None:
+            return write_batch(warehouse, SILVER_TABLE, silver, run_id("repair"), gate, keep=False)
+        batch_id = run_id("replay")
+        result = gate.run(silver, batch_id, keep=False)
+        warehouse.replace_from(result.passed, SILVER_TABLE, batch_id, from_date)
+        write_quarantine(warehouse, result)
+        record_metrics(warehouse, result)
+        return result.metrics
 
 
 def replay_gold(
@@ -148,10 +145,12 @@ def reprocess_quarantine(
     quarantined again. The batch is named after the rows selected, so a second run over the
     same selection is the same batch and changes nothing.
     """
-    chosen = written_down(selection, "selection")
-    mark = chosen.agg(
-        F.count("*"), F.coalesce(F.sum(F.xxhash64("original_record").cast("decimal(38,0)")), F.lit(0))
-    ).first()
-    batch_id = f"reprocess_{mark[0]}_{int(mark[1]) % (1 << 64):016x}"
-    rows = written_down(_not_stored(repaired(chosen, fix), warehouse), "reprocess")
-    return write_batch(warehouse, SILVER_TABLE, rows, batch_id, gate or silver_gate(), keep=False)
+    with scratch(warehouse.spark) as keep:
+        chosen = keep(selection, "selection")
+        mark = chosen.agg(
+            F.count("*"),
+            F.coalesce(F.sum(F.xxhash64("original_record").cast("decimal(38,0)")), F.lit(0)),
+        ).first()
+        batch_id = f"reprocess_{mark[0]}_{int(mark[1]) % (1 << 64):016x}"
+        rows = keep(_not_stored(repaired(chosen, fix), warehouse), "reprocess")
+        return write_batch(warehouse, SILVER_TABLE, rows, batch_id, gate or silver_gate(), keep=False)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,24 @@ def written_once(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Like :func:`written_once` for a run that ends with the block, which removes its folders."""
+    paths = []
+
+    def keep(df: DataFrame, purpose: str) -> DataFrame:
+        paths.append(shared_folder(spark, purpose))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(conf).delete(path, True)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run, below the folder every executor can reach.
 

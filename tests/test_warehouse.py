@@ -217,6 +217,20 @@ def test_replay_silver_and_gold(spark, warehouse):
     assert ids(warehouse.read(SILVER_TABLE)) == [f"m{i}" for i in range(6)]
 
 
+def test_bulk_runs_leave_no_copies(spark, warehouse):
+    from pathlib import Path
+
+    from test_silver import bronze, record
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "revwatch"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    recovery.backfill_bronze(warehouse, bronze(spark, record(meta={"id": "m"}, title="T", length={"new": 5})))
+    recovery.replay_silver(warehouse, DAY)
+    recovery.reprocess_quarantine(warehouse, warehouse.read("silver_quarantine"))
+    assert warehouse.read("bronze_events").count() == 1
+    assert set(folder.glob("*")) == before
+
+
 def test_replay_by_offsets_adds_what_is_missing(spark, warehouse):
     from test_silver import bronze, record
 
