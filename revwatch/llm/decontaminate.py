@@ -90,7 +90,6 @@ def find_hits(text: str | None, automaton) -> tuple[int, list[tuple[int, int, in
 
 
 def _scan(keyed: DataFrame, block: Broadcast) -> DataFrame:
-    kept = [f for f in keyed.schema.fields if f.name != "text"]
     schema = T.StructType(
         [
             *keyed.schema.fields,
@@ -99,7 +98,6 @@ def _scan(keyed: DataFrame, block: Broadcast) -> DataFrame:
             T.StructField("items", T.ArrayType(T.StringType())),
         ]
     )
-    names = [f.name for f in kept]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _built(block)
@@ -117,7 +115,6 @@ def _scan(keyed: DataFrame, block: Broadcast) -> DataFrame:
                 names=[*batch.schema.names, "n_words", "hits", "items"],
             )
 
-    assert names == [n for n in keyed.columns if n != "text"]
     return keyed.mapInArrow(scan, schema)
 
 

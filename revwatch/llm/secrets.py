@@ -80,7 +80,13 @@ def _placed(lengths: Column, rank: int) -> Column:
     return let(lengths, lambda p: F.when(F.size(p) > 0, placed(p)).otherwise(F.array().cast(SPAN)))
 
 
-def _matches(text: Column, kind: str, pattern: str, group: int = 0, keep: Callable[[Column], Column] | None = None) -> Column:
+def _matches(
+    text: Column,
+    kind: str,
+    pattern: str,
+    group: int = 0,
+    keep: Callable[[Column], Column] | None = None,
+) -> Column:
     """Spans of the leftmost non-overlapping matches whose ``group`` satisfies ``keep``.
 
     ``split`` gives what lies between the matches, so lengths add up to places.
@@ -133,7 +139,7 @@ def scan_secrets(docs: DataFrame, reach: int = 300) -> DataFrame:
     weak = F.concat(
         _matches(text, "login", LOGIN, 2, lambda v: F.length(v) >= MIN_LOGIN),
         _matches(text, "key", KEY, 0, _mixed),
-        _matches(text, "endpoint", ENDPOINT)
+        _matches(text, "endpoint", ENDPOINT),
     )
     has_id = text.rlike(f"{ACCESS}|{LOGIN}")
     # Without an identifier nothing weak can be reported.
