@@ -108,11 +108,13 @@ class WordTokens:
 
 
 @lru_cache(maxsize=2)
-def _tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+def _tokens(path: str, cached: int) -> WordTokens:
+    return WordTokens(path, cached)
 
 
-def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def tokenized_pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, cached: int = CACHED_WORDS
+) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every whole text of ``docs`` (doc_id, text)."""
     wanted = docs.select("doc_id", "text")
     fields = [
@@ -124,7 +126,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
     tail = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, chunk = _tokens(path), TaskContext.get().partitionId()
+        tokens, chunk = _tokens(path, cached), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows, out = [], []
@@ -292,16 +294,18 @@ def _places(bins: Bins) -> dict[int, np.ndarray]:
     return {length: np.array(rows, np.int64) for length, rows in out.items()}
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, cached: int = CACHED_WORDS
+) -> DataFrame:
     """Packs every text of ``docs`` (doc_id, text) into sequences of at most ``capacity`` tokens.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the
     ids themselves (little-endian, 32 bits) if asked for. A null or empty text is its end
     token alone; repeated rows are packed each by itself; an empty table gives no rows;
-    other columns are ignored.
+    other columns are ignored. ``cached`` words a worker keeps save time for memory.
     """
     spark = docs.sparkSession
-    pieces = written(tokenized_pieces(docs, path, capacity, keep_ids), "pieces")
+    pieces = written(tokenized_pieces(docs, path, capacity, keep_ids, cached), "pieces")
     per_chunk = pieces.groupBy("length", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = written(

@@ -38,7 +38,7 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=1_300_000)
 
 
 def op8_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
