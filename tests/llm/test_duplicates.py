@@ -236,6 +236,34 @@ def test_fuzzy_passage_is_aligned_as_one(frame):
     assert found[0].identity == pytest.approx(1 - 6 / 200, abs=0.01)
 
 
+@pytest.mark.parametrize(("head", "body", "foot"), [(60, 40, 60), (100, 100, 100), (200, 120, 200), (300, 200, 60)])
+def test_passages_around_another_body_are_found_each(frame, head, body, foot):
+    r = random.Random(head + body)
+    header, footer = prose(r, head), prose(r, foot)
+    rows = [(i, f"{header} {prose(r, body)} {footer}") for i in range(4)]
+    found = chaining.repeated_passages(frame(rows)).collect()
+    covered = {i: set() for i in range(1, 4)}
+    for x in found:
+        assert x.source_id == 0 and x.identity >= 0.8 and x.n_words >= 50
+        covered[x.doc_id].update(range(x.start, x.end))
+    need = set(range(head)) | set(range(head + body, head + body + foot))
+    assert all(need <= own for own in covered.values())
+
+
+def test_pieces_of_a_chain_equal_brute_force():
+    r = random.Random(15)
+    for _ in range(200):
+        n = r.randint(1, 12)
+        steps = [r.randint(1, 40) for _ in range(n)]
+        wrong = [r.randint(0, s) if s > 5 and r.random() < 0.5 else 0 for s in steps]
+        score = lambda i, j: chaining.SEED + sum(s - 5 * w for s, w in zip(steps[i:j], wrong[i:j]))  # noqa: E731, B023
+        found = chaining._passages(steps, wrong)
+        assert all(score(i, j) > -1e-6 for i, j in found)
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+        best = max(score(i, j) for i in range(n + 1) for j in range(i, n + 1))
+        assert any(i <= a and b <= j for i, j in found for a in range(n + 1) for b in range(a, n + 1) if score(a, b) == best)
+
+
 def test_passages_of_nothing(frame):
     assert chaining.repeated_passages(frame([])).count() == 0
     assert chaining.repeated_passages(frame([(None, prose(random.Random(1), 80)), (1, None)])).count() == 0
