@@ -6,10 +6,9 @@ tokens fill is variable as well; what is left constant is the line's template. T
 with enough constant tokens that occur in more than ``limit`` distinct documents recur, and
 their lines are dropped.
 
-Distinct documents are counted by content class (those whose least word hash agrees, as
-that of copies and near copies mostly does), less a fifth of the largest class: a group
-of copies counts about once. Counting comes first and on hashes; tokens are looked at only
-in leaves that enough documents share.
+Copies and near copies of a text (see :mod:`revwatch.llm.copies`) count as one document.
+Counting comes first and on hashes; tokens are looked at only in leaves that enough different
+texts share, which is never fewer than the documents of any of their templates.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from revwatch.functions.columns import computed_once
 from revwatch.llm.common import WORD_GAP, text_of, words_of, written
+from revwatch.llm.copies import held_by_more, shingles, sketch
 
 DEPTH = 3  # leading tokens
 FANOUT = 10
@@ -39,13 +39,6 @@ def _leaf(tokens: Column) -> Column:
     return F.xxhash64(F.length(tokens) - F.length(F.replace(tokens, F.lit(" "), F.lit(""))), F.substring_index(tokens, " ", DEPTH))
 
 
-def _distinct_documents(rows: DataFrame, *keys: str) -> DataFrame:
-    """(keys, documents) from rows with a content ``class``, one per document that holds the key."""
-    per_class = rows.groupBy(*keys, "class").agg(F.count("*").alias("n"))
-    per_key = per_class.groupBy(*keys).agg(F.count("*").alias("classes"), F.max("n").alias("largest"))
-    return per_key.select(*keys, (F.col("classes") - F.col("largest") / 5).alias("documents"))
-
-
 def _line(line: Column) -> Column:
     own = normalised(line)
     return F.transform(
@@ -57,17 +50,14 @@ def _line(line: Column) -> Column:
 
 
 def find_templates(base: DataFrame, limit: int, fanout: int, min_constant: float) -> DataFrame:
-    """(leaf, hash) of the lines whose template recurs, from ``base`` (row, class, text, lines)."""
-    rows = base.select("row", "class", F.inline(F.array_distinct("lines"))).where("leaf is not null")
+    """(leaf, hash) of the lines whose template recurs, from ``base`` (copy, sketch, text, lines)."""
+    rows = base.select("copy", F.inline(F.array_distinct("lines"))).where("leaf is not null")
     leaves = (
-        _distinct_documents(rows.select("row", "class", "leaf").distinct(), "leaf")
-        .where(F.col("documents") > limit)
-        .select("leaf")
+        rows.select("leaf", "copy").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("leaf")
     )
     leaves = written(leaves, "template-leaves")
     held = base.select(
-        "row",
-        "class",
+        "copy",
         F.inline(
             F.zip_with(
                 "lines",
@@ -76,9 +66,9 @@ def find_templates(base: DataFrame, limit: int, fanout: int, min_constant: float
             )
         ),
     ).where("leaf is not null")
-    # One row for each line and document, copies pre-aggregated by class.
+    # One row for each line and text.
     found = written(
-        held.join(leaves, "leaf").groupBy("leaf", "hash", "class", "row").agg(F.min("line").alias("line")),
+        held.join(leaves, "leaf").groupBy("leaf", "hash", "copy").agg(F.min("line").alias("line")),
         "template-lines",
     )
     lines = found.groupBy("leaf", "hash").agg(F.min("line").alias("line"))
@@ -104,8 +94,8 @@ def find_templates(base: DataFrame, limit: int, fanout: int, min_constant: float
         .select("leaf", "hash", F.xxhash64("leaf", "tokens").alias("template"))
     )
     template = written(template, "templates")
-    of_documents = found.join(template, ["leaf", "hash"]).select("template", "class", "row").distinct()
-    recurring = _distinct_documents(of_documents, "template").where(F.col("documents") > limit).select("template")
+    of_documents = found.join(template, ["leaf", "hash"]).select("template", "copy")
+    recurring = held_by_more(of_documents, base.select("copy", "sketch"), limit, "template")
     return template.join(recurring, "template").select("leaf", "hash")
 
 
@@ -126,14 +116,10 @@ def drop_templates(
     kept = [c for c in carry if c not in ("doc_id", "text")]
     wanted = docs.select("doc_id", *(F.col(c).alias(f"carry_{c}") for c in kept), F.col("text").alias("raw"), text_of().alias("text"))
     worded = computed_once(wanted, {"t_words": words_of(F.col("text"))})
-    hashed = worded.select(
-        *(c for c in worded.columns if c != "t_words"),
-        F.transform("t_words", lambda w: F.xxhash64(w)).alias("t_hashes"),
-    )
-    classed = computed_once(hashed, {"t_hash": F.col("t_hashes")}).select(
-        *wanted.columns, F.coalesce(F.array_min("t_hash"), F.lit(0)).alias("class")
-    )
-    lined = classed.withColumn("lines", F.transform(F.split("text", "\n"), _line)).withColumn("row", F.monotonically_increasing_id())
+    hashed = computed_once(worded, {"t_hash": F.transform("t_words", lambda w: F.xxhash64(w))}).drop("t_words")
+    shingled = computed_once(hashed, {"t_shingles": shingles(F.col("t_hash"))})
+    sketched = shingled.select(*wanted.columns, F.xxhash64("text").alias("copy"), sketch(F.col("t_shingles")).alias("sketch"))
+    lined = sketched.withColumn("lines", F.transform(F.split("text", "\n"), _line)).withColumn("row", F.monotonically_increasing_id())
     base = written(lined.drop("text").withColumnRenamed("raw", "text"), "template-base")
     dropped = written(find_templates(base, limit, fanout, min_constant), "template-drops")
     cut = (

@@ -154,6 +154,21 @@ def test_quality_rejects_depleted_and_keeps_copies(frame):
     assert all(kept[200 + i] for i in range(40))
 
 
+def sharing_a_word(n, line, seed):
+    """Unrelated texts with ``line``, all of whose least word hash is that of one word."""
+    r = random.Random(seed)
+    rank = lambda w: signed(xxhash.xxh64(w.encode(), seed=42).intdigest())
+    words = sorted({*(f"u{i}" for i in range(5000)), *line.lower().split(), *line.split()}, key=rank)
+    least, rest = words[0], [w for w in words[1:] if w.startswith("u")]
+    return [f"{' '.join(r.sample(rest, 40))} {least} {' '.join(r.sample(rest, 20))}\n{line}" for _ in range(n)]
+
+
+def edited_copies(n, line, seed):
+    r = random.Random(seed)
+    words = [f"e{r.randrange(9000)}" for _ in range(120)]
+    return [f"{' '.join([*words[:k], f'changed{i}', *words[k + 1:]])}\n{line}" for i in range(n) for k in [r.randrange(120)]]
+
+
 def test_quality_of_nothing(frame):
     assert quality.quality_digest(quality.quality_rules(frame([]))).count() == 0
 
@@ -234,6 +249,14 @@ def test_variable_fields_are_generalised_and_copies_stay(frame):
     assert all("only the copies" in found[500 + i] for i in range(30))
 
 
+def test_templates_count_documents_that_share_a_common_word(frame):
+    line = "and so on for all of us"
+    texts = sharing_a_word(15, line, 24) + edited_copies(100, line, 25) + edited_copies(40, "copies alone have this", 26)
+    found = {r.doc_id: r for r in templates.drop_templates(frame(list(enumerate(texts)))).collect()}
+    assert all(found[i].n_dropped == 1 and line not in found[i].text for i in range(115))
+    assert all(found[i].text == texts[i] for i in range(115, 155))
+
+
 def test_templates_of_nothing(frame):
     assert templates.drop_templates(frame([])).count() == 0
 
