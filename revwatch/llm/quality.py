@@ -1,10 +1,8 @@
 """Quality rules with cross-document line frequency (operator 2), built-in functions only.
 
 Each text gives its word statistics and, per line, a hash of the normalised line. A
-line is counted once per document and host; the count is of distinct documents, where
-documents of one content class (those whose least word hash agrees, as that of copies
-and near copies mostly does) count about once: classes less a fifth of the largest class, so that edited copies that fell
-out of their class do not add up. Lines above the limit are removed, and a document
+line is counted once per document and host; copies and near copies of a text (see
+:mod:`revwatch.llm.copies`) are one document. Lines above the limit are removed, and a document
 left with too small a share of its words is rejected.
 """
 
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from revwatch.functions.columns import computed_once
 from revwatch.llm.common import WORD_GAP, let, text_of, words_of, written
+from revwatch.llm.copies import held_by_more, shingles, sketch
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -66,7 +65,7 @@ def _has_word(line: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """Counts, content class, and (hash, words) of each line with a word, from ``text``.
+    """Counts, sketch, and (hash, words) of each line with a word, from ``text``.
 
     Word arrays are generator output at each step: so they are computed once, and array
     functions on them run compiled, which lambda bodies do not.
@@ -92,10 +91,13 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         F.transform("t_words", lambda w: F.xxhash64(w)).alias("t_hashes"),
     )
     hashed = computed_once(lined, {"t_hash": F.col("t_hashes")}).drop("t_hashes")
-    windows = computed_once(hashed, {"t_windows": _window_hashes(F.col("t_hash"))})
+    windows = computed_once(
+        hashed, {"t_windows": _window_hashes(F.col("t_hash")), "t_shingles": shingles(F.col("t_hash"))}
+    )
     return windows.select(
         *(c for c in lined.columns if c != "t_hashes"),
-        F.coalesce(F.array_min("t_hash"), F.lit(0)).alias("class"),
+        F.xxhash64("text").alias("copy"),
+        sketch(F.col("t_shingles")).alias("sketch"),
         _repeated_words(F.col("t_windows")).cast("bigint").alias("n_repeat_words"),
     )
 
@@ -109,7 +111,7 @@ def quality_rules(docs: DataFrame, limit: int = 20, min_share: float = 0.3) -> D
     """Statistics, frequent lines and the verdict for ``docs`` (doc_id, text, source).
 
     A line is frequent on a host (``source``; null is a host of its own) if more than
-    ``limit`` distinct documents hold it. A document is rejected if the base rules fail
+    ``limit`` distinct documents hold it, near copies counted once. A document is rejected if the base rules fail
     it or if less than ``min_share`` of its words is left without frequent lines. One
     row per input row, repeated rows included; a null text is empty and fails. ``key`` and
     ``key2`` are the row's :func:`row_key`; other columns are ignored.
@@ -127,17 +129,8 @@ def quality_rules(docs: DataFrame, limit: int = 20, min_share: float = 0.3) -> D
         "quality",
     )
 
-    once = stats.select(
-        "host", "class", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash")
-    )
-    per_class = once.groupBy("host", "hash", "class").agg(F.count("*").alias("n"))
-    frequent = written(
-        per_class.groupBy("host", "hash")
-        .agg(F.count("*").alias("classes"), F.max("n").alias("largest"))
-        .where(F.col("classes") - F.col("largest") / 5 > limit)
-        .select("host", "hash"),
-        "frequent-lines",
-    )
+    once = stats.select("host", "copy", F.explode(F.transform("lines", lambda x: x["hash"])).alias("hash"))
+    frequent = written(held_by_more(once, stats.select("copy", "sketch"), limit, "host", "hash"), "frequent-lines")
     removed = (
         stats.select("row", "host", F.inline("lines"))
         .join(frequent, ["host", "hash"])
@@ -146,7 +139,7 @@ def quality_rules(docs: DataFrame, limit: int = 20, min_share: float = 0.3) -> D
     )
     left = F.col("n_words") - F.coalesce("words_removed", F.lit(0))
     return (
-        stats.drop("lines", "class")
+        stats.drop("lines", "copy", "sketch")
         .join(removed, "row", "left")
         .select(
             "*",

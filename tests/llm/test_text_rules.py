@@ -169,6 +169,16 @@ def edited_copies(n, line, seed):
     return [f"{' '.join([*words[:k], f'changed{i}', *words[k + 1:]])}\n{line}" for i in range(n) for k in [r.randrange(120)]]
 
 
+def test_quality_counts_documents_that_share_a_common_word(frame):
+    line = "read more about our terms"
+    texts = sharing_a_word(15, line, 21) + edited_copies(100, line, 22)  # copies do not shield the line
+    alone = [f"{t}\nonly copies hold this one" for t in edited_copies(40, "x", 23)]
+    rows = [(i, t, "host") for i, t in enumerate(texts)] + [(500 + i, t, "other") for i, t in enumerate(alone)]
+    found = {r.doc_id: r for r in quality.quality_digest(quality.quality_rules(frame(rows), limit=10)).collect()}
+    assert all(found[i].words_left == found[i].n_words - 5 for i in range(115))
+    assert all(found[500 + i].words_left == found[500 + i].n_words for i in range(40))
+
+
 def test_quality_of_nothing(frame):
     assert quality.quality_digest(quality.quality_rules(frame([]))).count() == 0
 
