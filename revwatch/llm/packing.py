@@ -3,7 +3,7 @@
 Tasks tokenize and cut; what leaves them is one small row per piece. A piece's length is
 all that packing depends on, so the instance is the histogram of lengths: at most
 ``capacity`` rows, whatever the corpus. On it the Martello-Toth dominance test fixes
-sets of up to three pieces that no other filling beats, the instance shrinks, and best-fit
+sets of one or two pieces that no other filling beats, the instance shrinks, and best-fit
 decreasing packs the rest. Identical bins are one pattern with a multiplicity, so the
 plan too is bounded by the capacity. Pieces then find their place by their rank among
 those of their length: an ordinal within the task, counted while it tokenized, and a
