@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revwatch.llm import chaining, decontaminate, packing, quality, secrets, simhash, styletree, templates, urlrules, warc
+from revwatch.llm import (
+    chaining,
+    decontaminate,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    styletree,
+    templates,
+    urlrules,
+    warc,
+)
 from revwatch.llm.common import table
 
 
@@ -53,6 +65,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages")).drop("matched")
 
 
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_archives,
         op9_substring_dedup,
         op10_url_filters,
+        op11_nn_descent,
     )
 }
