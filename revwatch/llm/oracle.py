@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from revwatch.llm import decontaminate, secrets, urlrules, warc
+from revwatch.llm import decontaminate, lexical, secrets, urlrules, warc
 
 
 def _quoted(text: str) -> str:
@@ -105,6 +105,24 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM p LEFT JOIN first USING (digest)
 """
 
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_FOLDED} AS w FROM documents),
+k AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+q AS (SELECT iid, item_id, t, count(*)::BIGINT AS times
+      FROM (SELECT row_number() OVER () AS iid, item_id, unnest({_FOLDED}) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT rid, doc_id, n, t, count(*)::BIGINT AS tf
+      FROM (SELECT rid, doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS weight
+      FROM (SELECT t, count(*) AS df FROM p GROUP BY t), k),
+s AS (SELECT iid, item_id, rid, doc_id,
+             sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+      FROM p JOIN w USING (t) JOIN q USING (t), k GROUP BY ALL)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM s WHERE score > 0)
+WHERE rank <= {lexical.TOP}
+"""
+
 
 def _url_rules() -> str:
     host, path = "regexp_extract(rest, '^[^/?#]*')", "regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)"
@@ -136,4 +154,5 @@ ORACLE: dict[str, str] = {
     "op3_benchmark_decontamination": CONTAMINATION,
     "op8_warc_archives": ARCHIVES,
     "op10_url_filters": _url_rules(),
+    "op13_ranked_search": SEARCH,
 }

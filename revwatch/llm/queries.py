@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revwatch.llm import (
     chaining,
     decontaminate,
+    lexical,
     neighbours,
     packing,
     quality,
@@ -69,6 +70,10 @@ def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_url_filters,
         op11_nn_descent,
+        op13_ranked_search,
     )
 }
