@@ -14,6 +14,7 @@ from revwatch.llm import (
     neighbours,
     packing,
     quality,
+    repair,
     secrets,
     simhash,
     styletree,
@@ -70,6 +71,10 @@ def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digest(repair.repair_conversations(repair.damaged(table(spark, sf_dir, "conversations"))))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_url_filters,
         op11_nn_descent,
+        op12_conversation_repair,
         op13_ranked_search,
     )
 }
