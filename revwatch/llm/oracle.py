@@ -149,10 +149,81 @@ FROM r
 """
 
 
+def _moves() -> str:
+    """(symbol, state, next state, cost, edits): inserts, then one edit of a row."""
+    follow, move = {0: "u", 1: "u", 2: "a", 3: "u"}, {"s": 1, "u": 2, "a": 3}
+    rows = []
+    for symbol in "SUAXsuaxD":
+        for state in range(4):
+            for inserts in range(3):
+                at = state
+                for _ in range(inserts):
+                    at = move[follow[at]]
+                cost, more = 3 * inserts, 3 * symbol.islower()
+                rows.append((symbol, state, at, cost + 4, "I" * inserts + "D"))
+                if symbol != "D":
+                    rows.append((symbol, state, move[follow[at]], cost + 3 + more, "I" * inserts + "R"))
+                    if symbol.lower() == follow[at] or symbol.lower() == "s" and at == 0:
+                        rows.append((symbol, state, move[symbol.lower()], cost + more, "I" * inserts + "K"))
+    return ", ".join(map(str, rows))
+
+
+REPAIR = f"""
+WITH RECURSIVE
+bits AS (SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+             lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+given AS (SELECT row_number() OVER () AS rid, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+marked AS (SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda ch: unicode(ch)::BIGINT)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS f FROM given, bits),
+hurt AS (SELECT rid, c, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(role || ':' || text), rid, copy) AS pos FROM hurt),
+ink AS (SELECT *, regexp_extract(text, '(?s)([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*\\z', 1) AS tail,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY pos) > 1 AS again, left(role, 1) AS r,
+    lag(left(role, 1)) OVER (PARTITION BY c ORDER BY pos) AS r_before FROM placed),
+faults AS (SELECT *, CASE WHEN tail = '' THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM ink),
+symbols AS (SELECT c, pos, role, text, CASE WHEN fault IN ('blank', 'duplicate') THEN 'D'
+    WHEN fault = 'truncated' THEN CASE WHEN r IN ('s', 'u', 'a') THEN r ELSE 'x' END
+    ELSE CASE WHEN r IN ('s', 'u', 'a') THEN upper(r) ELSE 'X' END END AS symbol FROM faults),
+counts AS (SELECT c, (coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0))::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (r_before IS NOT NULL AND r_before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+    FROM faults GROUP BY c),
+moves(symbol, state, goal, cost, edits) AS (VALUES {_moves()}),
+dp AS (SELECT c, 0::BIGINT AS pos, 0 AS state, 0::BIGINT AS cost, '' AS audit FROM counts
+    UNION ALL
+    SELECT c, pos, state, best.cost, best.audit FROM (
+        SELECT dp.c, dp.pos + 1 AS pos, m.goal AS state,
+               min({{'cost': dp.cost + m.cost, 'audit': dp.audit || m.edits}}) AS best
+        FROM dp JOIN symbols s ON s.c = dp.c AND s.pos = dp.pos + 1 JOIN moves m ON m.symbol = s.symbol AND m.state = dp.state
+        GROUP BY ALL)),
+least AS (SELECT c, min({{'cost': cost + 3 * length(e), 'audit': audit || e}}) AS best
+    FROM (SELECT *, CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS e FROM dp) JOIN counts USING (c)
+    WHERE pos = n GROUP BY c),
+edits AS (SELECT c, i, substr(best.audit, i, 1) AS edit, i - length(replace(substr(best.audit, 1, i), 'I', '')) AS inserted
+    FROM (SELECT c, best, unnest(range(1, length(best.audit) + 1)) AS i FROM least)),
+lines AS (SELECT e.c, i, edit, s.role, s.text, row_number() OVER (PARTITION BY e.c ORDER BY i) AS p
+    FROM edits e LEFT JOIN symbols s ON s.c = e.c AND s.pos = i - inserted WHERE edit <> 'D'),
+led AS (SELECT *, max(CASE WHEN p = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c) AS s FROM lines),
+texts AS (SELECT c, string_agg(CASE WHEN edit = 'K' THEN role WHEN (p - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+    || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM led GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM given) LEFT JOIN counts USING (c) LEFT JOIN least USING (c) LEFT JOIN texts USING (c)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": SECRETS,
     "op3_benchmark_decontamination": CONTAMINATION,
     "op8_warc_archives": ARCHIVES,
     "op10_url_filters": _url_rules(),
+    "op12_conversation_repair": REPAIR,
     "op13_ranked_search": SEARCH,
 }
