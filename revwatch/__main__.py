@@ -2,7 +2,8 @@
 
     bronze   ROOT SERVERS TOPIC [--offsets latest]   queue to raw table
     silver   ROOT                                    raw to cleaned table
-    gold     ROOT [--families entity user global]    cleaned table to metrics
+    gold     ROOT [--families entity user global]    cleaned table to metrics, a query each
+    metrics  ROOT                                    all metrics and their states in one query
     ingest   ROOT SERVERS TOPIC [--allowlist FILE]   route raw records
     land     ROOT SERVERS TOPIC PATH                 raw records as JSON per hour
     backfill ROOT PATH                               JSON files to the raw table
@@ -41,6 +42,7 @@ from revwatch.streaming.pipeline import (
     start_bronze,
     start_gold,
     start_ingest,
+    start_metrics,
     start_silver,
 )
 from revwatch.streaming.progress import ProgressLog
@@ -69,6 +71,7 @@ def _parser() -> argparse.ArgumentParser:
     gold = job("gold", "root")
     gold.add_argument("--once", action="store_true")
     gold.add_argument("--families", nargs="+", default=["entity", "user", "global"])
+    job("metrics", "root").add_argument("--once", action="store_true")
     job("backfill", "root", "path")
     replay = job("replay", "root", "from_date")
     replay.add_argument("--layer", choices=("silver", "gold"), default="silver")
@@ -110,6 +113,8 @@ def _stream(spark, warehouse: Warehouse, options) -> None:
         queries = [start_silver(warehouse, checkpoint, once=options.once)]
     elif options.job == "gold":
         queries = start_gold(warehouse, checkpoint, once=options.once, families=options.families)
+    elif options.job == "metrics":
+        queries = [start_metrics(warehouse, checkpoint, once=options.once)]
     else:
         records = read_queue(spark, options.servers, options.topic, options.offsets)
         if options.job == "bronze":

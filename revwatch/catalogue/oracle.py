@@ -589,6 +589,18 @@ def oracle() -> dict[str, str]:
             SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity',
              'l_extendedprice', 'l_discount', 'l_tax']) AS column_name, 'true,true,true,true,true' AS near""",
         "entity_metrics_10min": f"{_entity(TEN_MINUTES)} SELECT * FROM entity",
+        # Sketches of few values hold all of them, so these counts are exact.
+        "one_pass_pages": f"{_entity(TEN_MINUTES)} SELECT * FROM entity",
+        "one_pass_users": f"{_user(TEN_MINUTES)} SELECT * FROM users",
+        "one_pass_site": f"{_global(TEN_MINUTES)} SELECT * FROM site",
+        "page_rollup_hour": f"{_entity(HOUR)} SELECT * FROM entity",
+        "page_rollup_day": f"{_entity(DAY)} SELECT * FROM entity",
+        "user_rollup_day": f"{_user(DAY)} SELECT * FROM users",
+        "site_rollup_bounds": f"""
+            SELECT make_timestamp(CAST(floor(epoch(l_shipdate) / {365 * DAY}) AS BIGINT) * {365 * DAY} * 1000000) AS window_start,
+             count(*) AS total_events, true AS users_near, true AS entities_near, true AS wikis_near
+            FROM lineitem GROUP BY 1""",
+        "site_rollup_half_day": f"{_global(12 * HOUR)} SELECT * FROM site",
         "entity_risk_score": f"""{_entity(HOUR)}
             SELECT window_start, entity, wiki, events_zscore, revert_ratio, anonymous_ratio,
              is_anomaly, risk_score, severity FROM entity""",

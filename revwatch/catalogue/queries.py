@@ -15,10 +15,10 @@ from revwatch.catalogue.records import (
     raw_texts,
     table,
 )
-from revwatch.operators import gold, ingest, matching, profile, quality, silver
+from revwatch.operators import gold, ingest, matching, profile, quality, silver, states
 from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
-from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE
+from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE, STATES_TABLE
 from revwatch.session import configure, shared_folder
 from revwatch.sinks.landing import with_landing_folders
 from revwatch.sinks.warehouse import Warehouse, utc_now
@@ -641,6 +641,94 @@ def quantile_bounds_lineitem(spark, sf_dir):
     )
 
 
+# Mergeable states: one pass for three families, longer windows from stored ones. --------
+
+
+@query
+def one_pass_pages(spark, sf_dir):
+    """Page metrics of the pass that measures all three families."""
+    return states.page_metrics(states.metric_states(_cleaned(spark, sf_dir))).drop(CLOCK)
+
+
+@query
+def one_pass_users(spark, sf_dir):
+    return states.user_metrics(states.metric_states(_cleaned(spark, sf_dir))).drop(CLOCK)
+
+
+@query
+def one_pass_site(spark, sf_dir):
+    return states.site_metrics(states.metric_states(_cleaned(spark, sf_dir))).drop(CLOCK)
+
+
+def _stored_states(spark, sf_dir):
+    """Ten-minute states as a table of two batches; what reads it does not read Silver."""
+    warehouse = Warehouse(spark, shared_folder(spark, "states-query"))
+    early = F.col("event_date") < F.lit(REPLAY_FROM)
+    rows = _cleaned(spark, sf_dir)
+    for name, part in (("states-1", rows.filter(early)), ("states-2", rows.filter(~early))):
+        warehouse.append(states.metric_states(part), STATES_TABLE, name)
+    return warehouse.read(STATES_TABLE)
+
+
+@query
+def page_rollup_hour(spark, sf_dir):
+    """Hours from stored ten-minute states."""
+    return states.page_metrics(states.roll_up(_stored_states(spark, sf_dir), "1 hour")).drop(CLOCK)
+
+
+@query
+def page_rollup_day(spark, sf_dir):
+    """Days from hours from stored ten-minute states."""
+    hours = states.roll_up(_stored_states(spark, sf_dir), "1 hour")
+    return states.page_metrics(states.roll_up(hours, "1 day", base="1 hour")).drop(CLOCK)
+
+
+@query
+def user_rollup_day(spark, sf_dir):
+    return states.user_metrics(states.roll_up(_stored_states(spark, sf_dir), "1 day")).drop(CLOCK)
+
+
+@query
+def site_rollup_half_day(spark, sf_dir):
+    return states.site_metrics(states.roll_up(_stored_states(spark, sf_dir), "12 hours")).drop(CLOCK)
+
+
+@query
+def site_rollup_bounds(spark, sf_dir):
+    """Are sketched counts of many values near the exact ones after days were merged to years?
+
+    Orders stand for users, parts for pages and suppliers for wikis.
+    """
+    moment = F.col("l_shipdate").cast("timestamp")
+    rows = table(spark, sf_dir, "lineitem").select(
+        moment.alias("ingestion_timestamp"),
+        F.concat(F.lit("u"), "l_orderkey").alias("user_name"),
+        F.concat(F.lit("p"), "l_partkey").alias("title"),
+        F.concat(F.lit("s"), "l_suppkey").alias("wiki"),
+        F.lit("edit").alias("event_type"),
+        F.lit(None).cast("string").alias("canonical_entity"),
+        *(F.lit(False).alias(c) for c in ("is_revert", "is_anonymous", "is_bot", "is_large_edit", "has_comment")),
+        *(F.lit(0).cast(kind).alias(c) for c, kind in (("bytes_changed", "int"), ("processing_lag_seconds", "bigint"), ("event_timestamp", "bigint"))),
+    )
+    years = states.roll_up(states.metric_states(rows, "1 day"), "365 days", base="1 day")
+    found = states.site_metrics(years).select("window_start", "total_events", "unique_users", "unique_entities", "unique_wikis")
+    exact = rows.groupBy(F.window("ingestion_timestamp", "365 days").start.alias("window_start")).agg(
+        *(F.count_distinct(c).alias(f"exact_{c}") for c in ("user_name", "title", "wiki"))
+    )
+
+    def near(sketched: str, column: str):
+        slack = F.greatest(F.lit(1.0), 4 * 0.016 * F.col(f"exact_{column}"))
+        return F.abs(F.col(sketched) - F.col(f"exact_{column}")) <= slack
+
+    return found.join(exact, "window_start").select(
+        "window_start",
+        "total_events",
+        near("unique_users", "user_name").alias("users_near"),
+        near("unique_entities", "title").alias("entities_near"),
+        near("unique_wikis", "wiki").alias("wikis_near"),
+    )
+
+
 # Serving. ------------------------------------------------------------------------------
 
 

@@ -225,6 +225,13 @@ def entity_metrics(
             "last_event_timestamp": F.max("event_timestamp").cast("bigint"),
         },
     )
+    return judge_entities(measured, baseline, now)
+
+
+def judge_entities(
+    measured: DataFrame, baseline: EntityBaseline = EntityBaseline(), now: Column | None = None
+) -> DataFrame:
+    """Ratios, flags and risk of page measures, however these were aggregated."""
     compared = measured.withColumns(
         {
             "revert_ratio": ratio("revert_count", "edit_count"),
@@ -331,6 +338,13 @@ def user_metrics(
             "edits_with_comment": count_where(F.col("has_comment")),
         },
     )
+    return judge_users(measured, baseline, now)
+
+
+def judge_users(
+    measured: DataFrame, baseline: UserBaseline = UserBaseline(), now: Column | None = None
+) -> DataFrame:
+    """Ratios, flags and risk of user measures."""
     compared = measured.withColumns(
         {
             "revert_ratio": ratio("revert_count", "edit_count"),
@@ -425,6 +439,13 @@ def global_metrics(
             "max_processing_lag": F.max("processing_lag_seconds"),
         },
     )
+    return judge_site(measured, baseline, now)
+
+
+def judge_site(
+    measured: DataFrame, baseline: GlobalBaseline = GlobalBaseline(), now: Column | None = None
+) -> DataFrame:
+    """Ratios and health of site-wide measures."""
     compared = measured.withColumns(
         {
             "revert_ratio": ratio("total_reverts", "total_edits"),

@@ -147,6 +147,18 @@ GOLD_GLOBAL = _columns(
     """
 )
 
+METRIC_STATES = _columns(
+    """
+    family STRING, window_start TIMESTAMP, window_end TIMESTAMP, entity STRING, wiki STRING,
+    user_name STRING, is_bot BOOLEAN, is_anonymous BOOLEAN, total_events BIGINT,
+    edit_count BIGINT, new_count BIGINT, categorize_count BIGINT, log_count BIGINT,
+    revert_count BIGINT, anonymous_count BIGINT, bot_count BIGINT, large_count BIGINT,
+    comment_count BIGINT, bytes_sum BIGINT, bytes_min INT, bytes_max INT, lag_sum BIGINT,
+    lag_count BIGINT, lag_max BIGINT, first_event BIGINT, last_event BIGINT, users BINARY,
+    anonymous_users BINARY, entities BINARY, wikis BINARY, event_date DATE
+    """
+)
+
 QUARANTINE = _columns(
     """
     quarantine_timestamp TIMESTAMP, quarantine_reason STRING,
@@ -191,6 +203,7 @@ SILVER_TABLE = "silver_events"
 GOLD_ENTITY_TABLE = "gold_entity_metrics_10min"
 GOLD_USER_TABLE = "gold_user_metrics_10min"
 GOLD_GLOBAL_TABLE = "gold_global_metrics_10min"
+STATES_TABLE = "metric_states_10min"
 
 TABLES = {
     BRONZE_TABLE: BRONZE,
@@ -198,6 +211,7 @@ TABLES = {
     GOLD_ENTITY_TABLE: GOLD_ENTITY,
     GOLD_USER_TABLE: GOLD_USER,
     GOLD_GLOBAL_TABLE: GOLD_GLOBAL,
+    STATES_TABLE: METRIC_STATES,
     "bronze_quarantine": QUARANTINE,
     "silver_quarantine": QUARANTINE,
     "gold_quarantine": QUARANTINE,

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from revwatch.schemas import COMMITS, TABLES
+from revwatch.schemas import COMMITS, STATES_TABLE, TABLES
 
 APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
 
 #: Partition columns in front of ``batch_id``; all other tables have ``event_date``.
-PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date")}
+PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date"), STATES_TABLE: ("family", "event_date")}
 COMMIT_LOG = "commits"
 
 

@@ -1,4 +1,4 @@
-"""The streaming jobs: ingest, Bronze, Silver and the three Gold families."""
+"""The streaming jobs: ingest, Bronze, Silver and the three Gold families, alone or in one pass."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
+from revwatch.operators import states
 from revwatch.operators.bronze import to_bronze
 from revwatch.operators.gold import entity_metrics, global_metrics, user_metrics
 from revwatch.operators.ingest import queue_records, route_events
@@ -18,9 +20,10 @@ from revwatch.schemas import (
     GOLD_GLOBAL_TABLE,
     GOLD_USER_TABLE,
     SILVER_TABLE,
+    STATES_TABLE,
 )
 from revwatch.sinks.landing import write_topics
-from revwatch.sinks.layers import batch_writer, stream_batch_id
+from revwatch.sinks.layers import batch_writer, stream_batch_id, write_batch
 from revwatch.sinks.warehouse import Warehouse
 from revwatch.sources.allowlist import Needle
 from revwatch.sources.layers import follow_bronze, follow_silver
@@ -135,6 +138,45 @@ def start_gold(
     return queries
 
 
+#: The families of one pass: table, builder from states.
+STATE_FAMILIES = (
+    (GOLD_ENTITY_TABLE, states.page_metrics),
+    (GOLD_USER_TABLE, states.user_metrics),
+    (GOLD_GLOBAL_TABLE, states.site_metrics),
+)
+
+
+def start_metrics(
+    warehouse: Warehouse,
+    checkpoint: str,
+    gate: QualityGate | None = gold_gate(),
+    interval: str = GOLD_TRIGGER,
+    once: bool = False,
+    max_files: int | None = FILES_PER_TRIGGER,
+) -> StreamingQuery:
+    """The cleaned table to the states table and all three metric tables, in one query.
+
+    The cleaned table is read, and its rows are shuffled, once instead of three times. A
+    batch of closed windows is stored as states, which longer windows are built from, and
+    as the tables of :func:`start_gold`.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch_id = stream_batch_id(batch, "metrics", number)
+        closed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if closed.isEmpty():
+                return
+            warehouse.append(closed, STATES_TABLE, batch_id)
+            for table, build in STATE_FAMILIES:
+                write_batch(warehouse, table, build(closed), batch_id, gate)
+        finally:
+            closed.unpersist()
+
+    silver = follow_silver(warehouse.spark, warehouse.root, max_files=max_files)
+    return start(states.metric_states(silver, watermark=None), write, f"{checkpoint}/metrics", interval, "metrics", once)
+
+
 def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], once: bool = False) -> None:
     """Wait for the queries and raise the error of one that failed.
 
