@@ -395,6 +395,40 @@ def _all_but(cte: str, *hidden: str) -> str:
     return f"SELECT * EXCLUDE ({', '.join(hidden)}) FROM {cte}" if hidden else f"SELECT * FROM {cte}"
 
 
+_ORDERS_PROFILE = """
+            SELECT 'o_orderkey' AS column_name, count(*) AS rows, count(o_orderkey) AS present,
+             count(*) - count(o_orderkey) AS missing, count(DISTINCT o_orderkey) AS distinct_values,
+             CAST(min(o_orderkey) AS VARCHAR) AS min_value, CAST(max(o_orderkey) AS VARCHAR) AS max_value,
+             round(avg(o_orderkey), 2) AS mean, round(stddev_samp(o_orderkey), 2) AS stddev FROM orders
+            UNION ALL
+            SELECT 'o_custkey', count(*), count(o_custkey), count(*) - count(o_custkey),
+             count(DISTINCT o_custkey), CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR),
+             round(avg(o_custkey), 2), round(stddev_samp(o_custkey), 2) FROM orders
+            UNION ALL
+            SELECT 'o_totalprice', count(*), count(o_totalprice), count(*) - count(o_totalprice),
+             count(DISTINCT o_totalprice), CAST(min(o_totalprice) AS VARCHAR),
+             CAST(max(o_totalprice) AS VARCHAR), round(avg(o_totalprice), 2),
+             round(stddev_samp(o_totalprice), 2) FROM orders
+            UNION ALL
+            SELECT 'o_orderstatus', count(*), count(o_orderstatus), count(*) - count(o_orderstatus),
+             count(DISTINCT o_orderstatus), min(o_orderstatus), max(o_orderstatus), NULL, NULL FROM orders
+            UNION ALL
+            SELECT 'o_orderdate', count(*), count(o_orderdate), count(*) - count(o_orderdate),
+             count(DISTINCT o_orderdate), CAST(min(o_orderdate) AS VARCHAR),
+             CAST(max(o_orderdate) AS VARCHAR), NULL, NULL FROM orders
+            UNION ALL
+            SELECT 'o_orderpriority', count(*), count(o_orderpriority),
+             count(*) - count(o_orderpriority), count(DISTINCT o_orderpriority),
+             min(o_orderpriority), max(o_orderpriority), NULL, NULL FROM orders"""
+_LINEITEM_VALUES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lineitem WHERE {c} IS NOT NULL"
+    for c in (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+)
+
+
 def oracle() -> dict[str, str]:
     """SQL per query; the sketch-based ones have none."""
     return {
@@ -648,31 +682,14 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 'second', event_date, count(*) FROM cleaned GROUP BY 2
             UNION ALL SELECT 'now', event_date, count(*) FROM cleaned
             WHERE event_date < DATE '2024-01-15' GROUP BY 2""",
-        "column_profile_orders": """
-            SELECT 'o_orderkey' AS column_name, count(*) AS rows, count(o_orderkey) AS present,
-             count(*) - count(o_orderkey) AS missing, count(DISTINCT o_orderkey) AS distinct_values,
-             CAST(min(o_orderkey) AS VARCHAR) AS min_value, CAST(max(o_orderkey) AS VARCHAR) AS max_value,
-             round(avg(o_orderkey), 2) AS mean, round(stddev_samp(o_orderkey), 2) AS stddev FROM orders
-            UNION ALL
-            SELECT 'o_custkey', count(*), count(o_custkey), count(*) - count(o_custkey),
-             count(DISTINCT o_custkey), CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR),
-             round(avg(o_custkey), 2), round(stddev_samp(o_custkey), 2) FROM orders
-            UNION ALL
-            SELECT 'o_totalprice', count(*), count(o_totalprice), count(*) - count(o_totalprice),
-             count(DISTINCT o_totalprice), CAST(min(o_totalprice) AS VARCHAR),
-             CAST(max(o_totalprice) AS VARCHAR), round(avg(o_totalprice), 2),
-             round(stddev_samp(o_totalprice), 2) FROM orders
-            UNION ALL
-            SELECT 'o_orderstatus', count(*), count(o_orderstatus), count(*) - count(o_orderstatus),
-             count(DISTINCT o_orderstatus), min(o_orderstatus), max(o_orderstatus), NULL, NULL FROM orders
-            UNION ALL
-            SELECT 'o_orderdate', count(*), count(o_orderdate), count(*) - count(o_orderdate),
-             count(DISTINCT o_orderdate), CAST(min(o_orderdate) AS VARCHAR),
-             CAST(max(o_orderdate) AS VARCHAR), NULL, NULL FROM orders
-            UNION ALL
-            SELECT 'o_orderpriority', count(*), count(o_orderpriority),
-             count(*) - count(o_orderpriority), count(DISTINCT o_orderpriority),
-             min(o_orderpriority), max(o_orderpriority), NULL, NULL FROM orders""",
+        "column_profile_orders": _ORDERS_PROFILE,
+        "profile_merged_orders": f"SELECT * EXCLUDE (distinct_values), true AS distinct_near FROM ({_ORDERS_PROFILE})",
+        "quantile_bounds_merged": """
+            SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity',
+             'l_extendedprice', 'l_discount', 'l_tax']) AS column_name, 'true,true,true,true,true' AS near""",
+        "frequent_values_lineitem": f"""
+            SELECT column_name, value, count(*) AS n FROM ({_LINEITEM_VALUES})
+            GROUP BY 1, 2 HAVING count(*) >= 0.05 * (SELECT count(*) FROM lineitem)""",
         "top_values_orders": """
             WITH v AS (
              SELECT 'o_custkey' AS column_name, CAST(o_custkey AS VARCHAR) AS value FROM orders

@@ -15,11 +15,11 @@ from revwatch.catalogue.records import (
     raw_texts,
     table,
 )
-from revwatch.operators import gold, ingest, matching, profile, quality, silver, states
+from revwatch.operators import gold, ingest, matching, profile, profile_states, quality, silver, states
 from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
 from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE, STATES_TABLE
-from revwatch.session import configure, shared_folder
+from revwatch.session import configure, shared_folder, written_once
 from revwatch.sinks.landing import with_landing_folders
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
@@ -621,8 +621,12 @@ def global_sketch_bounds(spark, sf_dir):
 def quantile_bounds_lineitem(spark, sf_dir):
     """Is each quantile of the profile within its accuracy by rank? A row per numeric column."""
     rows = table(spark, sf_dir, "lineitem")
-    found = profile.column_profile(rows).where("quantiles IS NOT NULL").select("column_name", "quantiles").collect()
-    slack = 2 / 1_000  # the profile's accuracy, on either side
+    return _ranks_near(rows, profile.column_profile(rows), 2 / 1_000)  # the profile's accuracy, on either side
+
+
+def _ranks_near(rows, profiled, slack):
+    """For each profiled quantile: is its rank among ``rows`` within ``slack``?"""
+    found = profiled.where("quantiles IS NOT NULL").select("column_name", "quantiles").collect()
 
     def near(name, at, value):
         below = F.count_if(F.col(name).cast("double") < value) / F.count(name)
@@ -823,6 +827,43 @@ def top_values_orders(spark, sf_dir):
     return profile.top_values(table(spark, sf_dir, "orders"), k=5)
 
 
+def _stored_profile(rows, by):
+    """Profile states of each part of a table, as stored, to be merged."""
+    kept = written_once(profile_states.profile_states(rows.withColumn("_part", by), rows.columns, ["_part"]), "profile")
+    return kept.drop("_part")
+
+
+@query
+def profile_merged_orders(spark, sf_dir):
+    """The profile merged from one state per month, against the whole table's."""
+    rows = table(spark, sf_dir, "orders")
+    found = profile_states.profile(_stored_profile(rows, F.date_format("o_orderdate", "yyyy-MM")))
+    exact = profile.column_profile(rows, exact_distinct=True, quantiles=()).select(
+        "column_name", F.col("distinct_values").alias("exact")
+    )
+    slack = F.greatest(F.lit(1.0), 4 * profile_states.DISTINCT_ERROR * F.col("exact"))
+    return found.join(exact, "column_name").select(
+        "column_name", "rows", "present", "missing", "min_value", "max_value",
+        F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"),
+        (F.abs(F.col("distinct_values") - F.col("exact")) <= slack).alias("distinct_near"),
+    )
+
+
+@query
+def quantile_bounds_merged(spark, sf_dir):
+    """Are quantiles of merged sketches, one for each of seven parts, within their rank error?"""
+    rows = table(spark, sf_dir, "lineitem")
+    merged = _stored_profile(rows, F.col("l_linenumber").cast("string"))
+    return _ranks_near(rows, profile_states.profile(merged), 2 * profile_states.RANK_ERROR)
+
+
+@query
+def frequent_values_lineitem(spark, sf_dir):
+    """Values that hold a twentieth of a column, from merged sketches."""
+    merged = _stored_profile(table(spark, sf_dir, "lineitem"), F.date_format("l_shipdate", "yyyy"))
+    return profile_states.frequent_values(merged, 0.05)
+
+
 # Streams. ------------------------------------------------------------------------------
 
 
