@@ -358,6 +358,28 @@ def _daily() -> str:
 )"""
 
 
+def _batches() -> str:
+    """CTE ``batches``: counts and failed constraints of three batches after ``BASE``."""
+    failed = ", ".join(
+        f"""CASE WHEN count(*) FILTER (WHERE {cond}) < count(*) THEN '"{name}"' END"""
+        for name, cond in SILVER_CHECKS.items()
+    )
+    return f"""{BASE}, batches AS (
+ SELECT 'part_' || (rid % 3) AS batch_id, 'silver' AS layer, count(*) AS total_count,
+  {_count("ok")} AS passed_count, {_count("NOT ok")} AS failed_count, {_count("ok")} / count(*) AS pass_rate,
+  '[' || concat_ws(', ', {failed}) || ']' AS failed_checks
+ FROM judged GROUP BY 1
+), graded AS (
+ SELECT *, {_severity("contains(failed_checks, 'Complete')")} AS severity FROM batches
+)"""
+
+
+def _severity(critical: str) -> str:
+    return f"""CASE WHEN pass_rate < {_double(0.8)} THEN 'CRITICAL'
+  WHEN pass_rate < {_double(0.95)} AND {critical} THEN 'CRITICAL'
+  WHEN pass_rate < {_double(0.95)} OR {critical} THEN 'WARNING' ELSE 'SUCCESS' END"""
+
+
 # The faulty JSON texts, by what becomes of them.
 _BROKEN, _EMPTY, _LIST, _NO_TITLE, _NULL_TITLE, _NO_TEXT = (
     condition.replace("event_id", "rid") for condition, _ in FAULTS
@@ -428,6 +450,13 @@ _LINEITEM_VALUES = " UNION ALL ".join(
     )
 )
 
+_INGEST_COUNTERS = f"""{ROUTED}
+            SELECT {_count("route IN ('dlq', 'filtered', 'cleaned')")} AS processed,
+             {_count("route = 'filtered'")} AS filtered,
+             {_count("route = 'cleaned'")} * 2 + {_count("route = 'dlq'")} AS sent,
+             {_count("route = 'malformed'")} + {_count("fault IN ('list', 'null_title')")} AS errors
+            FROM routed"""
+
 
 def oracle() -> dict[str, str]:
     """SQL per query; the sketch-based ones have none."""
@@ -453,12 +482,8 @@ def oracle() -> dict[str, str]:
             SELECT rid, route, CASE WHEN route = 'cleaned' THEN wiki || ':' || title END AS key,
              CASE WHEN fault = 'good' THEN canonical_entity END AS canonical_entity, error
             FROM routed""",
-        "ingest_counters": f"""{ROUTED}
-            SELECT {_count("route IN ('dlq', 'filtered', 'cleaned')")} AS processed,
-             {_count("route = 'filtered'")} AS filtered,
-             {_count("route = 'cleaned'")} * 2 + {_count("route = 'dlq'")} AS sent,
-             {_count("route = 'malformed'")} + {_count("fault IN ('list', 'null_title')")} AS errors
-            FROM routed""",
+        "ingest_counters": _INGEST_COUNTERS,
+        "ingest_counters_observed": _INGEST_COUNTERS,
         "ingest_messages": f"""{ROUTED}, sent AS (
              SELECT 'raw_events' AS topic, wiki || ':' || title AS key, NULL AS page, NULL AS stamp,
               1 AS titled FROM routed WHERE route = 'cleaned'
@@ -469,6 +494,16 @@ def oracle() -> dict[str, str]:
              SELECT 'dlq_events', NULL, NULL, NULL, 0 FROM routed WHERE route = 'dlq')
             SELECT topic, key, page, stamp, count(*) AS messages,
              CAST(sum(titled) AS BIGINT) AS titled FROM sent GROUP BY 1, 2, 3, 4""",
+        "topics_read_back": f"""{ROUTED}, sent AS (
+             SELECT 'raw_events' AS topic, wiki || ':' || title AS key, NULL AS page, NULL AS stamp,
+              1 AS titled FROM routed WHERE route = 'cleaned'
+             UNION ALL
+             SELECT 'cleaned_events', wiki || ':' || title, canonical_entity,
+              '2024-02-01T00:00:00.000000', 1 FROM routed WHERE route = 'cleaned'
+             UNION ALL
+             SELECT 'dlq_events', NULL, NULL, NULL, 0 FROM routed WHERE route = 'dlq')
+            SELECT topic, key, page, count(*) AS messages,
+             CAST(sum(titled) AS BIGINT) AS titled FROM sent GROUP BY 1, 2, 3""",
         "dlq_records": f"""{ROUTED}
             SELECT rid, error, '2024-02-01T00:00:00.000000' AS timestamp,
              CASE WHEN fault <> 'list' THEN CAST(rid AS VARCHAR) END AS original_id
@@ -596,6 +631,17 @@ def oracle() -> dict[str, str]:
                 **_complies("small discounts", f"l_discount <= {_double(0.05)}"),
             },
         ),
+        "suite_verdict_merged": _suite_sql(f"{BASE},", "derived", SILVER_CHECKS),
+        "severity_merged_daily": f"""{_daily()}
+            SELECT event_date, total_count, passed_count, pass_rate, failed_constraints,
+             {_severity("critical")} AS severity FROM daily""",
+        "quality_metrics_recorded": f"{_batches()} SELECT * EXCLUDE (severity) FROM graded",
+        "alerts_recorded": f"""{_batches()}
+            SELECT batch_id, layer, severity, CASE severity WHEN 'CRITICAL' THEN 'sns,slack' ELSE 'slack' END AS channels,
+             'Silver Quality Gate (' || batch_id || ')' AS title,
+             '*Pass Rate:* ' || printf('%.1f', pass_rate * 100) || '%' || chr(10) || '*Passed:* ' || passed_count
+              || chr(10) || '*Failed:* ' || failed_count AS message
+            FROM graded WHERE severity <> 'SUCCESS'""",
         "severity_history": f"""{_daily()}
             SELECT event_date, total_count, passed_count, pass_rate, failed_constraints,
              CASE WHEN pass_rate < {_double(0.8)} THEN 'CRITICAL'

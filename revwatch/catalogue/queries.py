@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,12 @@ from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
 from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE, STATES_TABLE
 from revwatch.session import configure, shared_folder, written_once
-from revwatch.sinks.landing import with_landing_folders
+from revwatch.sinks.landing import read_topic, with_landing_folders
+from revwatch.sinks.layers import record_metrics
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
 from revwatch.sources.files import to_backfill
-from revwatch.streaming.pipeline import start
+from revwatch.streaming.pipeline import start, store_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +139,29 @@ def ingest_counters(spark, sf_dir):
     return ingest.route_counters(_routed(spark, sf_dir))
 
 
+@query
+def ingest_counters_observed(spark, sf_dir):
+    """The counters as the job that writes the messages observes them."""
+    warehouse = Warehouse(spark, shared_folder(spark, "ingest-query"))
+    store_ingest(warehouse, raw_texts(_events(spark, sf_dir)), default_allowlist(), "all", now=F.lit(NOW))
+    return warehouse.read("ingest_counters").select("processed", "filtered", "sent", "errors")
+
+
+@query
+def topics_read_back(spark, sf_dir):
+    """Messages per topic and key, read from the tables of two committed batches."""
+    warehouse = Warehouse(spark, shared_folder(spark, "topics-query"))
+    texts = raw_texts(_events(spark, sf_dir))
+    for part in range(2):
+        store_ingest(warehouse, texts.filter(F.col("rid") % 2 == part), default_allowlist(), f"part_{part}", now=F.lit(NOW))
+    read = (read_topic(warehouse, name) for name in (ingest.RAW_TOPIC, ingest.CLEANED_TOPIC, ingest.DLQ_TOPIC))
+    found = reduce(DataFrame.unionByName, read)
+    page = F.get_json_object("value", "$._metadata.canonical_entity")
+    return found.withColumn("page", page).groupBy("topic", "key", "page").agg(
+        F.count("*").alias("messages"), F.count(F.get_json_object("value", "$.title")).alias("titled")
+    )
+
+
 @query
 def ingest_messages(spark, sf_dir):
     """Messages sent per topic and key, with the pages named inside the enriched texts."""
@@ -472,6 +497,48 @@ def _daily(spark, sf_dir):
     )
 
 
+def _gated_batches(spark, sf_dir):
+    """Three batches through the gate, each with rows of all dates, and what is recorded of them."""
+    warehouse = Warehouse(spark, shared_folder(spark, "gated-query"))
+    gate = quality.silver_gate()
+    rows = _derived(spark, sf_dir)
+    for part in range(3):
+        result = gate.run(rows.filter(F.col("rid") % 3 == part), f"part_{part}", keep=False)
+        record_metrics(warehouse, result)
+    return warehouse
+
+
+@query
+def suite_verdict_merged(spark, sf_dir):
+    """The suite over a table, from the counts its batches left."""
+    states = _gated_batches(spark, sf_dir).read("constraint_states")
+    return quality.combined_verdict(states, quality.silver_constraints())
+
+
+@query
+def severity_merged_daily(spark, sf_dir):
+    """Verdict per date from the counts of batches that each held a third of it."""
+    states = _gated_batches(spark, sf_dir).read("constraint_states")
+    daily = quality.combined_quality(states, quality.silver_constraints(), ["event_date"])
+    return daily.withColumn("failed_constraints", F.size("failed_checks")).drop("failed_checks")
+
+
+@query
+def quality_metrics_recorded(spark, sf_dir):
+    """What the gate records of each batch."""
+    return _gated_batches(spark, sf_dir).read("quality_metrics").select(
+        "batch_id", "layer", "total_count", "passed_count", "failed_count", "pass_rate", "failed_checks"
+    )
+
+
+@query
+def alerts_recorded(spark, sf_dir):
+    """The alerts those batches raise."""
+    return _gated_batches(spark, sf_dir).read("alerts").select(
+        "batch_id", "layer", "severity", F.array_join("channels", ",").alias("channels"), "title", "message"
+    )
+
+
 @query
 def severity_history(spark, sf_dir):
     return _daily(spark, sf_dir).select(

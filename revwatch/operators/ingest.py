@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from revwatch.functions.columns import computed_once
@@ -172,20 +172,34 @@ def queue_records(routed: DataFrame, now: Column | None = None) -> DataFrame:
     return routed.select(F.inline(sent))
 
 
-def route_counters(routed: DataFrame) -> DataFrame:
-    """One row: records processed, filtered, sent and in error."""
-
+def _counters() -> list[Column]:
     def of(*routes: str) -> Column:
         return F.count_if(F.col("route").isin(*routes))
 
-    return routed.agg(
+    return [
         of(DLQ, FILTERED, CLEANED).alias("processed"),
         of(FILTERED).alias("filtered"),
         # A cleaned record goes to two topics, a dead letter to one.
         (of(CLEANED) * 2 + of(DLQ)).alias("sent"),
         (of(MALFORMED) + F.count_if(F.col("error").isNotNull() & (F.col("error") != MISSING_FIELDS)))
         .alias("errors"),
-    )
+    ]
+
+
+def route_counters(routed: DataFrame) -> DataFrame:
+    """One row: records processed, filtered, sent and in error."""
+    return routed.agg(*_counters())
+
+
+def observed_routes(routed: DataFrame, observation: Observation | str = "ingest") -> DataFrame:
+    """``routed`` as it is; what consumes it yields the counters of :func:`route_counters` too.
+
+    A batch reads them from its ``Observation`` once the consuming job has ended; a stream
+    reports them, under the name given, with its progress. The consumer has to be a plan
+    without a shuffle behind this point, as the writing of the messages is: the tasks of
+    a write count once however often they are run again, those of a shuffle would not.
+    """
+    return routed.observe(observation, *_counters())
 
 
 def unfiltered_records(records: DataFrame, now: Column | None = None) -> DataFrame:

@@ -49,7 +49,7 @@ HELPER_FLAGS = (
 
 @dataclass(frozen=True)
 class Constraint:
-    """``holds`` judges the number of rows that meet ``counted`` and the batch size.
+    """``holds`` judges the number of rows that meet ``counted`` and the batch size, as columns or numbers.
 
     An empty batch gives nothing to measure: only a size constraint can hold on it.
     """
@@ -122,6 +122,61 @@ def run_suite(df: DataFrame, constraints: Sequence[Constraint], keys: Sequence[s
     return measured.select(*keys, F.inline(F.array(*results)))
 
 
+#: The state that counts the rows the row gate lets pass.
+ROW_GATE = "RowGate"
+
+
+def constraint_states(
+    df: DataFrame, constraints: Sequence[Constraint], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Per constraint (and key) the rows measured and those that pass: what can be added up.
+
+    The counts of batches, files or dates are stored and later combined by
+    :func:`combined_verdict`; the rows themselves are not read again.
+    """
+    return run_suite(df, constraints, keys).drop("constraint_status")
+
+
+def combined_verdict(
+    states: DataFrame, constraints: Sequence[Constraint], keys: Sequence[str] = ()
+) -> DataFrame:
+    """The suite over all that ``states`` (constraint, rows, rows_passing) were counted from.
+
+    As :func:`run_suite`, from one row per constraint and batch; states of constraints that
+    are not in the list are left out.
+    """
+    added = (
+        states.filter(F.col("constraint").isin([c.name for c in constraints]))
+        .groupBy(*keys, "constraint")
+        .agg(F.sum("rows").alias("rows"), F.sum("rows_passing").alias("rows_passing"))
+    )
+    good, rows = F.col("rows_passing"), F.col("rows")
+    holds = F.coalesce(*(F.when(F.col("constraint") == c.name, c.holds(good, rows)) for c in constraints))
+    status = F.when(holds, SUCCESS).otherwise(FAILURE)
+    return added.select(*keys, "constraint", status.alias("constraint_status"), "rows", "rows_passing")
+
+
+def combined_quality(states: DataFrame, constraints: Sequence[Constraint], keys: Sequence[str] = ()) -> DataFrame:
+    """Counts, pass rate, failed constraints and severity, per key or for the whole table.
+
+    Needs the states of the row gate beside those of the constraints.
+    """
+    gate = Constraint(ROW_GATE, F.lit(True))
+    is_gate = F.col("constraint") == ROW_GATE
+    failed = ~is_gate & (F.col("constraint_status") == FAILURE)
+    return (
+        combined_verdict(states, [*constraints, gate], keys)
+        .groupBy(*keys)
+        .agg(
+            F.max(F.when(is_gate, F.col("rows"))).alias("total_count"),
+            F.max(F.when(is_gate, F.col("rows_passing"))).alias("passed_count"),
+            F.sort_array(F.collect_list(F.when(failed, F.col("constraint")))).alias("failed_checks"),
+        )
+        .withColumn("pass_rate", F.coalesce(F.try_divide("passed_count", "total_count"), F.lit(1.0)))
+        .withColumn("severity", severity_column(F.col("pass_rate"), F.col("failed_checks")))
+    )
+
+
 def bronze_constraints() -> list[Constraint]:
     complete = ("event_id", "event_data", "kafka_topic", "event_date", "ingestion_timestamp")
     return [
@@ -358,21 +413,22 @@ class QualityGate:
         if keep:
             flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
         constraints = self.constraints() if self.suite else []
-        measured = flagged.agg(
+        # Counts per date, so that verdicts on dates can be put together from batches.
+        keys = ["event_date"] if "event_date" in flagged.columns else []
+        dated = flagged.groupBy(*keys).agg(
             *_suite_columns(constraints), F.count_if(F.col(PASS_FLAG)).alias("_passed")
-        )
-        judged = measured.select(
-            "_rows",
-            "_passed",
-            *(
-                F.coalesce(c.holds(F.col(f"_good_{i}"), F.col("_rows")), F.lit(False)).alias(f"_holds_{i}")
-                for i, c in enumerate(constraints)
-            ),
-        ).first()
+        ).collect()
+        rows, passed = (sum(r[name] for r in dated) for name in ("_rows", "_passed"))
+        good = [sum(r[f"_good_{i}"] for r in dated) for i in range(len(constraints))]
         checks = {
-            c.name: SUCCESS if judged[f"_holds_{i}"] else FAILURE for i, c in enumerate(constraints)
+            c.name: SUCCESS if c.holds(n, rows) else FAILURE for c, n in zip(constraints, good, strict=True)
         }
-        rows, passed = judged["_rows"], judged["_passed"]
+        names = [*(c.name for c in constraints), ROW_GATE]
+        states = [
+            (self.layer, name, r["_rows"], r[column], r["event_date"] if keys else None)
+            for r in dated
+            for name, column in zip(names, [*(f"_good_{i}" for i in range(len(constraints))), "_passed"], strict=True)
+        ]
         metrics = {
             "batch_id": batch_id,
             "layer": self.layer,
@@ -382,6 +438,7 @@ class QualityGate:
             "failed_count": rows - passed,
             "pass_rate": passed / rows if rows else 1.0,
             "failed_checks": [name for name, status in checks.items() if status == FAILURE],
+            "states": states,
         }
         return GateResult(flagged, metrics)
 

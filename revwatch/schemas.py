@@ -175,6 +175,12 @@ QUALITY_METRICS = _columns(
     """
 )
 
+CONSTRAINT_STATES = _columns(
+    """
+    layer STRING, constraint STRING, rows BIGINT, rows_passing BIGINT, event_date DATE
+    """
+)
+
 ALERTS = _columns(
     """
     batch_id STRING, layer STRING, severity STRING, channels ARRAY<STRING>,
@@ -182,6 +188,13 @@ ALERTS = _columns(
     """
 )
 
+#: Queue messages of all topics; the topic is the leading partition column.
+TOPICS = _columns("topic STRING, key STRING, value STRING, event_date DATE")
+
+INGEST_COUNTERS = _columns(
+    "processed BIGINT, filtered BIGINT, sent BIGINT, errors BIGINT, event_date DATE"
+)
+
 COMMITS = _columns(
     """
     table_name STRING, batch_id STRING, action STRING, from_date DATE,
@@ -193,7 +206,8 @@ PROGRESS = _columns(
     """
     query_name STRING, query_id STRING, batch_id BIGINT, progress_time STRING,
     num_input_rows BIGINT, input_rows_per_second DOUBLE,
-    processed_rows_per_second DOUBLE, offsets_behind BIGINT, event_date DATE
+    processed_rows_per_second DOUBLE, offsets_behind BIGINT, watermark STRING,
+    rows_dropped_late BIGINT, observed STRING, event_date DATE
     """
 )
 
@@ -204,6 +218,7 @@ GOLD_ENTITY_TABLE = "gold_entity_metrics_10min"
 GOLD_USER_TABLE = "gold_user_metrics_10min"
 GOLD_GLOBAL_TABLE = "gold_global_metrics_10min"
 STATES_TABLE = "metric_states_10min"
+TOPICS_TABLE = "topics"
 
 TABLES = {
     BRONZE_TABLE: BRONZE,
@@ -217,4 +232,7 @@ TABLES = {
     "gold_quarantine": QUARANTINE,
     "quality_metrics": QUALITY_METRICS,
     "alerts": ALERTS,
+    "constraint_states": CONSTRAINT_STATES,
+    "ingest_counters": INGEST_COUNTERS,
+    TOPICS_TABLE: TOPICS,
 }

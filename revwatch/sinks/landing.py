@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revwatch.operators.ingest import CLEANED_TOPIC, DLQ_TOPIC, RAW_TOPIC
+from revwatch.schemas import TOPICS_TABLE
 from revwatch.sinks.warehouse import Warehouse
 
 # Folder zone, records per file and seconds between two files.
@@ -50,17 +51,22 @@ def land_stream(
     )
 
 
-def write_topics(warehouse: Warehouse, messages: DataFrame, batch_id: str) -> None:
-    """Store queue messages in one table per topic.
+def write_topics(
+    warehouse: Warehouse, messages: DataFrame, batch_id: str, now: Column | None = None
+) -> None:
+    """Store queue messages of all three topics in one write, made visible by one commit.
 
-    The topic is the leading partition column of a single write, so the three
-    outputs come from one pass over the batch.
+    The topic is the leading partition column, so the three outputs come from one pass
+    over the batch and a reader of one does not touch the others. A write that fails
+    half way shows none of them; a batch that is visible is left as it is.
     """
-    (
-        messages.filter(F.col("topic").isin(RAW_TOPIC, CLEANED_TOPIC, DLQ_TOPIC))
-        .withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "batch_id")
-        .parquet(warehouse.path("topics"))
-    )
+    clock = F.current_timestamp() if now is None else now
+    known = messages.filter(F.col("topic").isin(RAW_TOPIC, CLEANED_TOPIC, DLQ_TOPIC))
+    warehouse.append(known.withColumn("event_date", F.to_date(clock)), TOPICS_TABLE, batch_id, gather=False)
+
+
+def read_topic(warehouse: Warehouse, topic: str) -> DataFrame:
+    """The visible messages of one topic, in the columns a queue has."""
+    if topic not in (RAW_TOPIC, CLEANED_TOPIC, DLQ_TOPIC):
+        raise ValueError(f"unknown topic {topic!r}")
+    return warehouse.read(TOPICS_TABLE).filter(F.col("topic") == topic).select("topic", "key", "value", "event_date")

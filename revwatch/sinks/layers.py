@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from revwatch.operators.quality import GateResult, QualityGate, quarantine_rows
-from revwatch.schemas import ALERTS, QUALITY_METRICS
+from revwatch.schemas import ALERTS, CONSTRAINT_STATES, QUALITY_METRICS
 from revwatch.sinks.warehouse import Warehouse, utc_now
 
 log = logging.getLogger(__name__)
@@ -45,7 +45,7 @@ def write_quarantine(warehouse: Warehouse, result: GateResult) -> int:
 
 
 def record_metrics(warehouse: Warehouse, result: GateResult) -> None:
-    """One row in ``quality_metrics`` and, if the severity asks for it, in ``alerts``."""
+    """One row in ``quality_metrics``, the counts behind it in ``constraint_states``, an alert if due."""
     m, now = result.metrics, utc_now()
     row = (
         m["batch_id"],
@@ -60,6 +60,8 @@ def record_metrics(warehouse: Warehouse, result: GateResult) -> None:
     )
     metrics = warehouse.spark.createDataFrame([row], QUALITY_METRICS).coalesce(1)
     warehouse.append(metrics, "quality_metrics", m["batch_id"])
+    states = warehouse.spark.createDataFrame(m["states"], CONSTRAINT_STATES).coalesce(1)
+    warehouse.append(states, "constraint_states", m["batch_id"])
     alert = result.alert()
     if alert is not None:
         line = (*(alert[name] for name in ALERTS.fieldNames()[:-2]), now, now.date())

@@ -17,12 +17,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from revwatch.schemas import COMMITS, STATES_TABLE, TABLES
+from revwatch.schemas import COMMITS, STATES_TABLE, TABLES, TOPICS_TABLE
 
 APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
 
 #: Partition columns in front of ``batch_id``; all other tables have ``event_date``.
-PARTITIONS = {"quality_metrics": ("layer", "event_date"), "alerts": ("layer", "event_date"), STATES_TABLE: ("family", "event_date")}
+PARTITIONS = {
+    "quality_metrics": ("layer", "event_date"),
+    "alerts": ("layer", "event_date"),
+    "constraint_states": ("layer", "event_date"),
+    STATES_TABLE: ("family", "event_date"),
+    TOPICS_TABLE: ("topic", "event_date"),
+}
 COMMIT_LOG = "commits"
 
 
@@ -82,6 +88,7 @@ class Warehouse:
         batch_id: str,
         partition_by: Sequence[str] | None = None,
         row_count: int | None = None,
+        gather: bool = True,
     ) -> None:
         """Store one batch and make it visible.
 
@@ -91,11 +98,12 @@ class Warehouse:
 
         Rows are gathered by partition and files cut by size, so a small batch
         makes few and a date that holds much of the data several.
-        ``row_count``, where it is known, is noted in the log.
+        ``row_count``, where it is known, is noted in the log. Without ``gather`` each
+        task writes what it has, and the write adds no shuffle.
         """
         if self.is_committed(table, batch_id):
             return
-        self._store(df, table, batch_id, partition_by)
+        self._store(df, table, batch_id, partition_by, gather)
         self._commit(table, batch_id, APPEND, row_count=row_count)
 
     def replace_from(
@@ -119,7 +127,7 @@ class Warehouse:
         stamp = f"rollback-{utc_now():%Y%m%dT%H%M%S%f}"
         self._commit(table, stamp, ROLLBACK, restored_to=to)
 
-    def _store(self, df, table, batch_id, partition_by=None) -> None:
+    def _store(self, df, table, batch_id, partition_by=None, gather=True) -> None:
         schema = TABLES.get(table)
         partition_by = partition_by or PARTITIONS.get(table, ("event_date",))
         if schema is not None:
@@ -127,9 +135,10 @@ class Warehouse:
             if missing:
                 raise SchemaDrift(f"{table} needs the columns {missing}")
             df = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+        if gather:
+            df = df.hint("rebalance", *partition_by)
         (
-            df.hint("rebalance", *partition_by)
-            .withColumn("batch_id", F.lit(batch_id))
+            df.withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by, "batch_id")

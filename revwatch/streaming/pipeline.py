@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from revwatch.operators import states
 from revwatch.operators.bronze import to_bronze
 from revwatch.operators.gold import entity_metrics, global_metrics, user_metrics
-from revwatch.operators.ingest import queue_records, route_events
+from revwatch.operators.ingest import observed_routes, queue_records, route_counters, route_events
 from revwatch.operators.quality import QualityGate, bronze_gate, gold_gate, silver_gate
 from revwatch.operators.silver import bronze_to_silver
 from revwatch.schemas import (
@@ -19,12 +19,14 @@ from revwatch.schemas import (
     GOLD_ENTITY_TABLE,
     GOLD_GLOBAL_TABLE,
     GOLD_USER_TABLE,
+    INGEST_COUNTERS,
     SILVER_TABLE,
     STATES_TABLE,
+    TOPICS_TABLE,
 )
 from revwatch.sinks.landing import write_topics
 from revwatch.sinks.layers import batch_writer, stream_batch_id, write_batch
-from revwatch.sinks.warehouse import Warehouse
+from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import Needle
 from revwatch.sources.layers import follow_bronze, follow_silver
 
@@ -67,6 +69,31 @@ def start(
     )
 
 
+def store_ingest(
+    warehouse: Warehouse,
+    records: DataFrame,
+    allowlist: Sequence[Needle],
+    batch_id: str,
+    match_strategy: str = "broadcast",
+    now: Column | None = None,
+) -> dict[str, int]:
+    """Route a batch, store its messages and its counters; the counters come with the write.
+
+    The broadcast strategy plans no shuffle, so the routes are observed in the tasks that
+    write. The other one has shuffles, but in front of the routes.
+    """
+    routed = route_events(records, allowlist, now=now, match_strategy=match_strategy)
+    if warehouse.is_committed(TOPICS_TABLE, batch_id):  # nothing will be written, so nothing observed
+        counters = route_counters(routed).first().asDict()
+    else:
+        seen = Observation(f"ingest {batch_id}")
+        write_topics(warehouse, queue_records(observed_routes(routed, seen), now=now), batch_id, now)
+        counters = seen.get
+    row = (*(counters[name] for name in INGEST_COUNTERS.fieldNames()[:-1]), utc_now().date())
+    warehouse.append(warehouse.spark.createDataFrame([row], INGEST_COUNTERS).coalesce(1), "ingest_counters", batch_id)
+    return counters
+
+
 def start_ingest(
     records: DataFrame,
     allowlist: Sequence[Needle],
@@ -83,8 +110,7 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        messages = queue_records(route_events(batch, allowlist, match_strategy=match_strategy))
-        write_topics(warehouse, messages, stream_batch_id(batch, "ingest", number))
+        store_ingest(warehouse, batch, allowlist, stream_batch_id(batch, "ingest", number), match_strategy)
 
     return start(records, write, checkpoint, interval, "ingest", once)
 

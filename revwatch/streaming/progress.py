@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from datetime import datetime
@@ -23,6 +24,21 @@ def _offsets_behind(progress) -> int | None:
     return max(known) if known else None
 
 
+def _dropped_late(progress) -> int | None:
+    """Rows that stateful operators dropped behind the watermark, where there are such operators.
+
+    An aggregation counts them after it has grouped them within tasks.
+    """
+    counts = [operator.numRowsDroppedByWatermark for operator in progress.stateOperators]
+    return sum(counts) if counts else None
+
+
+def _observed(progress) -> str | None:
+    """Observed metrics as JSON, by name."""
+    found = {name: row.asDict() for name, row in (progress.observedMetrics or {}).items()}
+    return json.dumps(found, default=str) if found else None
+
+
 class ProgressLog(StreamingQueryListener):
     """Collects one row per micro-batch; :meth:`flush` appends them to a table.
 
@@ -49,6 +65,9 @@ class ProgressLog(StreamingQueryListener):
             float(p.inputRowsPerSecond),
             float(p.processedRowsPerSecond),
             _offsets_behind(p),
+            (p.eventTime or {}).get("watermark"),
+            _dropped_late(p),
+            _observed(p),
             datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).date(),
         )
         with self._lock:
