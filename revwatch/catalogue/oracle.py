@@ -642,6 +642,10 @@ def oracle() -> dict[str, str]:
              '*Pass Rate:* ' || printf('%.1f', pass_rate * 100) || '%' || chr(10) || '*Passed:* ' || passed_count
               || chr(10) || '*Failed:* ' || failed_count AS message
             FROM graded WHERE severity <> 'SUCCESS'""",
+        "quarantine_staged_repair": f"""{BASE}
+            SELECT event_date, count(*) AS repaired, CAST(0 AS INT) AS left_staged, CAST(0 AS INT) AS second_run_added
+            FROM judged WHERE {REASONS} = 'freshness:processing_lag_seconds'
+             AND processing_lag_seconds <= 7200 GROUP BY event_date""",
         "severity_history": f"""{_daily()}
             SELECT event_date, total_count, passed_count, pass_rate, failed_constraints,
              CASE WHEN pass_rate < {_double(0.8)} THEN 'CRITICAL'
@@ -750,6 +754,9 @@ def oracle() -> dict[str, str]:
              SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS INT)
               AS rank FROM c)
             SELECT * FROM r WHERE rank <= 5""",
+        "stream_late_rows": f"""{BASE}
+            SELECT {_count(f"{_window_end(HOUR)} <= {_CLOSED}")} AS windowed, true AS some_late,
+             CAST(0 AS BIGINT) AS other_reasons, true AS all_of_the_first_file FROM derived""",
         "stream_entity_metrics": f"""{_entity(HOUR, "derived")}
             SELECT window_start, window_end, entity, wiki, total_events, edit_count, revert_count,
              anonymous_edit_count, total_bytes_changed, revert_ratio, anonymous_ratio,

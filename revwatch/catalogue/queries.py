@@ -19,6 +19,7 @@ from revwatch.catalogue.records import (
 from revwatch.operators import gold, ingest, matching, profile, profile_states, quality, silver, states
 from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
+from revwatch.plans.staging import QuarantineStaging
 from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE, STATES_TABLE
 from revwatch.session import configure, shared_folder, written_once
 from revwatch.sinks.landing import read_topic, with_landing_folders
@@ -26,6 +27,7 @@ from revwatch.sinks.layers import record_metrics
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
 from revwatch.sources.files import to_backfill
+from revwatch.streaming import late
 from revwatch.streaming.pipeline import start, store_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -400,6 +402,26 @@ def quarantine_reprocess(spark, sf_dir):
     )
 
 
+@query
+def quarantine_staged_repair(spark, sf_dir):
+    """Late rows staged in a bucketed table, repaired with a higher limit, and the staging cleared."""
+    root = shared_folder(spark, "staging-query")
+    warehouse = Warehouse(spark, root)
+    warehouse.append(_quarantined(spark, sf_dir), "silver_quarantine", "q_0")
+    staging = QuarantineStaging(warehouse, f"staging_{root[-32:]}")
+    try:
+        staging.stage(serving.quarantine_selection(warehouse.read("silver_quarantine"), None, "%freshness%"))
+        staging.repair(gate=quality.silver_gate(max_lag_seconds=7200))
+        once = warehouse.read(SILVER_TABLE).count()
+        staging.repair(gate=quality.silver_gate(max_lag_seconds=7200))
+        left = staging.rows().count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging.name}")
+    return warehouse.read(SILVER_TABLE).groupBy("event_date").agg(
+        F.count("*").alias("repaired"), F.lit(left).alias("left_staged")
+    ).withColumn("second_run_added", F.lit(warehouse.read(SILVER_TABLE).count() - once))
+
+
 def _suite(df, constraints, keys=()):
     return quality.run_suite(df, constraints, keys)
 
@@ -974,6 +996,48 @@ def stream_entity_metrics(spark, sf_dir):
     return _drained(spark, metrics, "stream-entity", "entity_windows")
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """What a windowed stream takes in and gives out: windows closed, and rows too late for theirs.
+
+    The last file repeats the rows of the first, which are late by then.
+    """
+    rows = edit_records(follow_events(spark, sf_dir)).select("rid", "ingestion_timestamp")
+    marked = rows.withWatermark("ingestion_timestamp", gold.WATERMARK)
+    windows = marked.groupBy(F.window("ingestion_timestamp", "1 hour")).agg(F.count("*").alias("rows"))
+    root = shared_folder(spark, "stream-late")
+
+    def write(batch: DataFrame, number: int) -> None:
+        mark = late.late_watermark(spark, f"{root}/checkpoint", number)
+        _, closed, too_late = late.split(batch, mark, "1 hour")
+        closed.select("window.start", "rows").write.mode("overwrite").parquet(f"{root}/windows/batch={number}")
+        too_late.write.mode("overwrite").parquet(f"{root}/late/batch={number}")
+
+    start(late.beside(windows, marked), write, f"{root}/checkpoint", "0 seconds", "late", once=True).awaitTermination()
+    seen = spark.read.schema("rid bigint, ingestion_timestamp timestamp, late_reason string").parquet(f"{root}/late")
+    in_time = spark.read.schema("start timestamp, rows bigint").parquet(f"{root}/windows")
+    first = edit_records(_events(spark, sf_dir)).select("rid", "ingestion_timestamp")
+    repeated = seen.join(first, ["rid", "ingestion_timestamp"], "left_semi")
+    # Late are the rows of the first file, all of them: those up to the last of them.
+    expected = first.where(F.col("ingestion_timestamp") <= F.lit(seen.agg(F.max("ingestion_timestamp")).first()[0]))
+    parts = (
+        in_time.select(F.lit("windowed").alias("part"), "rows"),
+        seen.select(F.when(F.col("late_reason") == late.BEHIND, "late").otherwise("other").alias("part"), F.lit(1)),
+        repeated.select(F.lit("repeated"), F.lit(1)),
+        expected.select(F.lit("expected"), F.lit(1)),
+    )
+
+    def total(part: str):
+        return F.coalesce(F.sum(F.when(F.col("part") == part, F.col("rows"))), F.lit(0))
+
+    return reduce(DataFrame.unionAll, parts).agg(
+        total("windowed").alias("windowed"),
+        (total("late") > 0).alias("some_late"),
+        total("other").alias("other_reasons"),
+        ((total("late") == total("repeated")) & (total("late") == total("expected"))).alias("all_of_the_first_file"),
+    )
+
+
 @query
 def stream_user_metrics(spark, sf_dir):
     metrics = gold.user_metrics(_stream_rows(spark, sf_dir), "1 hour").select(*STREAMED_USER)

@@ -103,7 +103,7 @@ def metric_states(silver: DataFrame, window: str = gold.WINDOW, watermark: str |
     return _dated(measured.withColumns({n: _sketched(n, F.col(f"_{n}_sketch")) for n in SKETCHES}))
 
 
-def _seconds(window: str) -> int:
+def window_seconds(window: str) -> int:
     found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day)s?\s*", window)
     if not found:
         raise ValueError(f"not a window length: {window!r}")
@@ -112,7 +112,7 @@ def _seconds(window: str) -> int:
 
 def roll_up(states: DataFrame, window: str, base: str = gold.WINDOW) -> DataFrame:
     """States of longer windows from those of ``base`` windows, which must divide them."""
-    if _seconds(window) % _seconds(base):
+    if window_seconds(window) % window_seconds(base):
         raise ValueError(f"windows of {window!r} cannot be built from windows of {base!r}")
     merged = states.groupBy("family", F.window("window_start", window), *KEYS).agg(
         *(F.sum(name).alias(name) for name in _SUMS),

@@ -87,6 +87,9 @@ SILVER = _columns(
     """
 )
 
+#: Rows that came too late for their window, and the watermark that closed it.
+SILVER_LATE = StructType([*SILVER.fields, *_columns("late_reason STRING, late_watermark TIMESTAMP").fields])
+
 GOLD_ENTITY = _columns(
     """
     entity STRING, wiki STRING, total_events BIGINT, edit_count BIGINT,
@@ -219,6 +222,7 @@ GOLD_USER_TABLE = "gold_user_metrics_10min"
 GOLD_GLOBAL_TABLE = "gold_global_metrics_10min"
 STATES_TABLE = "metric_states_10min"
 TOPICS_TABLE = "topics"
+LATE_TABLE = "silver_late"
 
 TABLES = {
     BRONZE_TABLE: BRONZE,
@@ -227,6 +231,7 @@ TABLES = {
     GOLD_USER_TABLE: GOLD_USER,
     GOLD_GLOBAL_TABLE: GOLD_GLOBAL,
     STATES_TABLE: METRIC_STATES,
+    LATE_TABLE: SILVER_LATE,
     "bronze_quarantine": QUARANTINE,
     "silver_quarantine": QUARANTINE,
     "gold_quarantine": QUARANTINE,

@@ -20,6 +20,7 @@ from revwatch.schemas import (
     GOLD_GLOBAL_TABLE,
     GOLD_USER_TABLE,
     INGEST_COUNTERS,
+    LATE_TABLE,
     SILVER_TABLE,
     STATES_TABLE,
     TOPICS_TABLE,
@@ -29,6 +30,7 @@ from revwatch.sinks.layers import batch_writer, stream_batch_id, write_batch
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import Needle
 from revwatch.sources.layers import follow_bronze, follow_silver
+from revwatch.streaming import late
 
 #: Files a job takes up in one trigger, so that a first start does not read all history at once.
 FILES_PER_TRIGGER = 1_000
@@ -179,28 +181,43 @@ def start_metrics(
     interval: str = GOLD_TRIGGER,
     once: bool = False,
     max_files: int | None = FILES_PER_TRIGGER,
+    keep_late: bool = True,
 ) -> StreamingQuery:
     """The cleaned table to the states table and all three metric tables, in one query.
 
     The cleaned table is read, and its rows are shuffled, once instead of three times. A
     batch of closed windows is stored as states, which longer windows are built from, and
-    as the tables of :func:`start_gold`.
+    as the tables of :func:`start_gold`. With ``keep_late`` the rows that come too late for
+    their window are stored in ``silver_late``, from which they can be repaired or replayed.
     """
+    place = f"{checkpoint}/metrics"
 
     def write(batch: DataFrame, number: int) -> None:
         batch_id = stream_batch_id(batch, "metrics", number)
-        closed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if keep_late:
+            mark = late.late_watermark(batch.sparkSession, place, number)
+            kept, closed, too_late = late.split(batch, mark, None)
+        else:
+            kept = closed = batch
+            too_late = None
+        kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if closed.isEmpty():
-                return
-            warehouse.append(closed, STATES_TABLE, batch_id)
-            for table, build in STATE_FAMILIES:
-                write_batch(warehouse, table, build(closed), batch_id, gate)
+            if too_late is not None and not too_late.isEmpty():
+                warehouse.append(too_late, LATE_TABLE, batch_id)
+            if not closed.isEmpty():
+                warehouse.append(closed, STATES_TABLE, batch_id)
+                for table, build in STATE_FAMILIES:
+                    write_batch(warehouse, table, build(closed), batch_id, gate)
         finally:
-            closed.unpersist()
+            kept.unpersist()
 
     silver = follow_silver(warehouse.spark, warehouse.root, max_files=max_files)
-    return start(states.metric_states(silver, watermark=None), write, f"{checkpoint}/metrics", interval, "metrics", once)
+    stream = states.metric_states(silver, watermark=None)
+    if keep_late:
+        # Rows as they are stored: the filter for copies, too, drops what is late.
+        every = follow_silver(warehouse.spark, warehouse.root, max_files=max_files, once_per_record=False)
+        stream = late.beside(stream, every)
+    return start(stream, write, place, interval, "metrics", once)
 
 
 def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], once: bool = False) -> None:

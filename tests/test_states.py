@@ -9,9 +9,18 @@ from test_quality import silver_rows
 from test_streaming import START
 
 from revwatch.operators import gold, states
-from revwatch.schemas import GOLD_ENTITY_TABLE, GOLD_GLOBAL_TABLE, GOLD_USER_TABLE, METRIC_STATES, SILVER_TABLE, STATES_TABLE
+from revwatch.schemas import (
+    GOLD_ENTITY_TABLE,
+    GOLD_GLOBAL_TABLE,
+    GOLD_USER_TABLE,
+    LATE_TABLE,
+    METRIC_STATES,
+    SILVER_TABLE,
+    STATES_TABLE,
+)
 from revwatch.sinks.warehouse import Warehouse
-from revwatch.streaming.pipeline import await_all, start_metrics
+from revwatch.streaming import late
+from revwatch.streaming.pipeline import await_all, start, start_metrics
 
 FAMILIES = (
     (states.page_metrics, gold.entity_metrics),
@@ -120,7 +129,6 @@ def test_one_streaming_query_fills_all_tables(spark, lake, tmp_path):
         minute = (F.unix_timestamp("ingestion_timestamp") - F.unix_timestamp(F.lit(START))) / 60
         lake.append(silver.where((minute >= low) & (minute < low + 180)), SILVER_TABLE, f"silver_{at}")
     lake.append(closing, SILVER_TABLE, "silver_9")
-    other = Warehouse(spark, lake.root)
     await_all(spark, [start_metrics(lake, f"{tmp_path}/cp", once=True, max_files=1)], once=True)
     tables = (GOLD_ENTITY_TABLE, GOLD_USER_TABLE, GOLD_GLOBAL_TABLE)
     for table, (_, direct) in zip(tables, FAMILIES):
@@ -128,4 +136,52 @@ def test_one_streaming_query_fills_all_tables(spark, lake, tmp_path):
         assert passed and set(passed) <= set(rows(direct(silver, exact_distinct=True)))
     hours = states.roll_up(lake.read(STATES_TABLE).where(F.col("window_end") <= F.lit(START + dt.timedelta(hours=9))), "9 hours")
     assert states.site_metrics(hours).agg(F.sum("total_events")).first()[0] == 400
-    assert other.read("quality_metrics").where("layer = 'gold'").count() > 0
+    assert lake.read("quality_metrics").where("layer = 'gold'").count() > 0
+
+
+def test_what_comes_in_is_in_a_window_or_late(spark, lake, tmp_path):
+    """Per batch: rows in time and late rows add up; windows hold exactly the rows in time."""
+    minutes = [[0, 5], [60, 61, 12], [130, 2], [131, 3, 59, 125], [400], [401]]
+    at = 0
+    for number, batch in enumerate(minutes):
+        changes = []
+        for minute in batch:
+            changes.append({"meta_id": f"m{at}", "kafka_offset": at, "ingestion_timestamp": START + dt.timedelta(minutes=minute)})
+            at += 1
+        lake.append(silver_rows(spark, *changes).coalesce(1), SILVER_TABLE, f"silver_{number}")
+    query = start_metrics(lake, f"{tmp_path}/cp", once=True, max_files=1)
+    await_all(spark, [query], once=True)
+    late_rows = lake.read(LATE_TABLE).orderBy("kafka_offset").collect()
+    windowed = states.roll_up(lake.read(STATES_TABLE).where("family = 'site'"), "1 day").first().total_events
+    still_open = 2  # those at 400 and 401 minutes
+    assert windowed + len(late_rows) + still_open == sum(map(len, minutes))
+    assert {r.late_reason for r in late_rows} == {late.BEHIND}
+    assert all(r.ingestion_timestamp <= r.late_watermark for r in late_rows)
+    # A second start over nothing new adds nothing.
+    await_all(spark, [start_metrics(lake, f"{tmp_path}/cp", once=True, max_files=1)], once=True)
+    assert lake.read(LATE_TABLE).count() == len(late_rows)
+
+
+def test_late_rows_are_those_the_aggregation_drops(spark, tmp_path):
+    """Row by row, against a query without the side output."""
+    offsets = [[0], [50], [100, 1, 41, 95], [101, 40, 49, 12, 29], [300, 99, 55], [301]]
+    folder = f"{tmp_path}/in"
+    schema = "ingestion_timestamp timestamp, n int"
+    for batch in offsets:
+        rows = [(START + dt.timedelta(minutes=m), m) for m in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    marked = source.withWatermark("ingestion_timestamp", "10 minutes")
+    windows = marked.groupBy(F.window("ingestion_timestamp", "10 minutes")).agg(F.collect_list("n").alias("members"))
+    seen, held = [], []
+
+    def write(batch, number):
+        mark = late.late_watermark(batch.sparkSession, f"{tmp_path}/cp", number)
+        _, closed, too_late = late.split(batch, mark, "10 minutes")
+        held.extend(n for r in closed.collect() for n in r.members)
+        seen.extend(r.n for r in too_late.collect())
+
+    start(late.beside(windows, marked), write, f"{tmp_path}/cp", "0 seconds", "late", once=True).awaitTermination()
+    arrived = [m for batch in offsets for m in batch]
+    assert sorted(held + seen) == sorted(m for m in arrived if m < 290)
+    assert seen and not set(seen) & set(held)
