@@ -6,6 +6,8 @@ records is shared with the Spark side.
 
 from __future__ import annotations
 
+import re
+
 from revwatch.catalogue.records import FAULTS, RECORD_COLUMNS
 
 ADDRESS = r"^(\d{1,3}\.){3}\d{1,3}$|^([0-9a-fA-F]{0,4}:){2,7}[0-9a-fA-F]{0,4}$"
@@ -299,6 +301,64 @@ def _global(width: int, source: str = "cleaned") -> str:
 )"""
 
 
+def _history(sql: str, keys: str, means: dict, ratios: dict, defaults: dict) -> str:
+    """A family's CTEs with the fixed baselines replaced by trailing ones.
+
+    The last seven days with windows of the same key, of which the newest has ended.
+    """
+    on = " AND ".join(f"h.{k} IS NOT DISTINCT FROM c.{k}" for k in keys.split(", ") if k) or "true"
+    group = f"{keys}, " if keys else ""
+    by = f"PARTITION BY {keys} " if keys else ""
+    frame = f"OVER ({by}ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)"
+    sums = [f"sum({m}) AS s_{n}, sum({m} * {m}) AS q_{n}" for n, m in means.items()]
+    sums += [f"sum({p}) AS p_{n}, sum({w}) AS w_{n}" for n, (p, w) in ratios.items()]
+    names = [f"{x}_{n}" for n in means for x in "sq"] + [f"{x}_{n}" for n in ratios for x in "pw"]
+    chosen = []
+    for name, value in defaults.items():
+        what, kind = name.rsplit("_", 1)
+        figure = {
+            "avg": f"CAST(s_{what} AS DOUBLE) / n",
+            "stddev": f"greatest(sqrt(CAST(n * q_{what} - s_{what} * s_{what} AS DOUBLE) / (CAST(n AS DOUBLE) * (n - 1))), {_double(0.5)})",
+            "ratio": f"CASE WHEN w_{what} > 0 THEN p_{what} / w_{what} ELSE {_double(0)} END",
+        }[kind]
+        chosen.append(f"CASE WHEN n >= 12 THEN {figure} ELSE {_double(value)} END AS baseline_{name}")
+        sql = re.sub(rf",\s*{re.escape(_double(value))} AS baseline_{name}\b", "", sql, count=1)
+    extra = f"""daily AS (
+ SELECT {group}CAST(window_start AS DATE) AS day, count(*) AS windows, {", ".join(sums)} FROM counted GROUP BY ALL
+), trail AS (
+ SELECT {group}day + 1 AS valid_from, sum(windows) {frame} AS n,
+  {", ".join(f"sum({n}) {frame} AS {n}" for n in names)} FROM daily
+), newest AS (
+ SELECT c.*, h.* EXCLUDE ({group}valid_from), row_number() OVER (
+   PARTITION BY {"".join(f"c.{k}, " for k in keys.split(", ") if k)}c.window_start ORDER BY h.valid_from DESC NULLS LAST) AS newness
+ FROM counted c LEFT JOIN trail h ON {on} AND h.valid_from <= c.window_start
+), based AS (
+ SELECT * EXCLUDE (n, newness, {", ".join(names)}), {", ".join(chosen)} FROM newest WHERE newness = 1
+), rated AS ("""
+    head, tail = sql.split("rated AS (", 1)
+    return head + extra + tail.replace("FROM counted", "FROM based", 1)
+
+
+_PAGE_HISTORY = (
+    "entity, wiki",
+    {"events": "total_events"},
+    {"revert": ("revert_count", "edit_count"), "anonymous": ("anonymous_edit_count", "total_events")},
+    {"events_avg": 5.0, "events_stddev": 3.0, "revert_ratio": 0.12, "anonymous_ratio": 0.25},
+)
+_USER_HISTORY = (
+    "user_name, is_bot, is_anonymous",
+    {"edits": "edit_count", "entities": "entities_edited"},
+    {"revert": ("revert_count", "edit_count")},
+    {"edits_avg": 2.0, "edits_stddev": 1.5, "entities_avg": 1.5, "entities_stddev": 1.0, "revert_ratio": 0.10},
+)
+_SITE_HISTORY = (
+    "",
+    {"events": "total_events"},
+    {"revert": ("total_reverts", "total_edits"), "anonymous": ("total_anonymous", "total_events")},
+    {"events_avg": 150.0, "events_stddev": 50.0, "revert_ratio": 0.12, "anonymous_ratio": 0.25},
+)
+
+
 def _suite(name: str, rows: str, good: str, size: bool = False) -> str:
     holds = f"{rows} >= 1" if size else f"{rows} > 0 AND {good} = {rows}"
     return (
@@ -672,6 +732,11 @@ def oracle() -> dict[str, str]:
         "quantile_bounds_lineitem": """
             SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity',
              'l_extendedprice', 'l_discount', 'l_tax']) AS column_name, 'true,true,true,true,true' AS near""",
+        "entity_history": f"{_history(_entity(HOUR), *_PAGE_HISTORY)} SELECT * FROM entity",
+        "user_history": f"""{_history(_user(HOUR), *_USER_HISTORY).replace(
+                f"baseline_entities_avg) / {_double(1.0)}", "baseline_entities_avg) / baseline_entities_stddev")}
+            SELECT * EXCLUDE (baseline_entities_stddev) FROM users""",
+        "global_history": f"{_history(_global(HOUR), *_SITE_HISTORY)} SELECT * FROM site",
         "entity_metrics_10min": f"{_entity(TEN_MINUTES)} SELECT * FROM entity",
         # Sketches of few values hold all of them, so these counts are exact.
         "one_pass_pages": f"{_entity(TEN_MINUTES)} SELECT * FROM entity",

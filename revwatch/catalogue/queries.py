@@ -16,7 +16,7 @@ from revwatch.catalogue.records import (
     raw_texts,
     table,
 )
-from revwatch.operators import gold, ingest, matching, profile, profile_states, quality, silver, states
+from revwatch.operators import gold, history, ingest, matching, profile, profile_states, quality, silver, states
 from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
 from revwatch.plans.staging import QuarantineStaging
@@ -734,6 +734,28 @@ def _ranks_near(rows, profiled, slack):
     )
 
 
+# Baselines from history. ----------------------------------------------------------------
+
+
+@query
+def entity_history(spark, sf_dir):
+    """Pages judged by their own trailing week instead of fixed values."""
+    hours = _entity(spark, sf_dir, "1 hour")
+    return history.entity_metrics(hours, hours).drop(CLOCK)
+
+
+@query
+def user_history(spark, sf_dir):
+    hours = _user(spark, sf_dir, "1 hour")
+    return history.user_metrics(hours, hours).drop(CLOCK)
+
+
+@query
+def global_history(spark, sf_dir):
+    hours = _global(spark, sf_dir, "1 hour")
+    return history.global_metrics(hours, hours).drop(CLOCK)
+
+
 # Mergeable states: one pass for three families, longer windows from stored ones. --------
 
 

@@ -228,20 +228,25 @@ def entity_metrics(
     return judge_entities(measured, baseline, now)
 
 
+def _baseline(baseline, *names: str) -> dict[str, Column]:
+    """The baseline columns as literals; none where the measures bring their own."""
+    return {} if baseline is None else {f"baseline_{n}": F.lit(getattr(baseline, n)) for n in names}
+
+
 def judge_entities(
-    measured: DataFrame, baseline: EntityBaseline = EntityBaseline(), now: Column | None = None
+    measured: DataFrame, baseline: EntityBaseline | None = EntityBaseline(), now: Column | None = None
 ) -> DataFrame:
-    """Ratios, flags and risk of page measures, however these were aggregated."""
+    """Ratios, flags and risk of page measures, however these were aggregated.
+
+    Without a ``baseline`` the measures have the baseline columns already.
+    """
     compared = measured.withColumns(
         {
             "revert_ratio": ratio("revert_count", "edit_count"),
             "anonymous_ratio": ratio("anonymous_edit_count", "total_events"),
             "bot_ratio": ratio("bot_edit_count", "total_events"),
             "quality_ratio": ratio("quality_passed_count", "total_events", empty=1.0),
-            "baseline_events_avg": F.lit(baseline.events_avg),
-            "baseline_events_stddev": F.lit(baseline.events_stddev),
-            "baseline_revert_ratio": F.lit(baseline.revert_ratio),
-            "baseline_anonymous_ratio": F.lit(baseline.anonymous_ratio),
+            **_baseline(baseline, "events_avg", "events_stddev", "revert_ratio", "anonymous_ratio"),
         }
     ).withColumns(
         {
@@ -342,22 +347,20 @@ def user_metrics(
 
 
 def judge_users(
-    measured: DataFrame, baseline: UserBaseline = UserBaseline(), now: Column | None = None
+    measured: DataFrame, baseline: UserBaseline | None = UserBaseline(), now: Column | None = None
 ) -> DataFrame:
     """Ratios, flags and risk of user measures."""
     compared = measured.withColumns(
         {
             "revert_ratio": ratio("revert_count", "edit_count"),
-            "baseline_edits_avg": F.lit(baseline.edits_avg),
-            "baseline_edits_stddev": F.lit(baseline.edits_stddev),
-            "baseline_entities_avg": F.lit(baseline.entities_avg),
-            "baseline_revert_ratio": F.lit(baseline.revert_ratio),
+            **_baseline(
+                baseline, "edits_avg", "edits_stddev", "entities_avg", "entities_stddev", "revert_ratio"
+            ),
         }
     ).withColumns(
         {
             "edits_zscore": zscore("edit_count", "baseline_edits_avg", "baseline_edits_stddev"),
-            "entities_zscore": (F.col("entities_edited") - F.col("baseline_entities_avg"))
-            / F.lit(baseline.entities_stddev),
+            "entities_zscore": zscore("entities_edited", "baseline_entities_avg", "baseline_entities_stddev"),
         }
     )
     flags = _user_flags()
@@ -443,7 +446,7 @@ def global_metrics(
 
 
 def judge_site(
-    measured: DataFrame, baseline: GlobalBaseline = GlobalBaseline(), now: Column | None = None
+    measured: DataFrame, baseline: GlobalBaseline | None = GlobalBaseline(), now: Column | None = None
 ) -> DataFrame:
     """Ratios and health of site-wide measures."""
     compared = measured.withColumns(
@@ -451,10 +454,7 @@ def judge_site(
             "revert_ratio": ratio("total_reverts", "total_edits"),
             "anonymous_ratio": ratio("total_anonymous", "total_events"),
             "bot_ratio": ratio("total_bot", "total_events"),
-            "baseline_events_avg": F.lit(baseline.events_avg),
-            "baseline_events_stddev": F.lit(baseline.events_stddev),
-            "baseline_revert_ratio": F.lit(baseline.revert_ratio),
-            "baseline_anonymous_ratio": F.lit(baseline.anonymous_ratio),
+            **_baseline(baseline, "events_avg", "events_stddev", "revert_ratio", "anonymous_ratio"),
             "events_per_user": ratio("total_events", "unique_users"),
             "events_per_entity": ratio("total_events", "unique_entities"),
         }
