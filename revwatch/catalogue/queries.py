@@ -20,7 +20,7 @@ from revwatch.operators import gold, history, ingest, matching, profile, profile
 from revwatch.operators.bronze import to_bronze
 from revwatch.plans import recovery, serving
 from revwatch.plans.staging import QuarantineStaging
-from revwatch.schemas import GOLD_ENTITY_TABLE, SILVER_TABLE, STATES_TABLE
+from revwatch.schemas import GOLD_ENTITY_TABLE, SHREDDED_TABLE, SILVER_TABLE, STATES_TABLE
 from revwatch.session import configure, shared_folder, written_once
 from revwatch.sinks.landing import read_topic, with_landing_folders
 from revwatch.sinks.layers import record_metrics
@@ -277,6 +277,16 @@ def json_roundtrip(spark, sf_dir):
     return silver.to_silver(silver.derive(silver.parse_events(bronze))).drop("event_data")
 
 
+@query
+def json_roundtrip_shredded(spark, sf_dir):
+    """The same from records parsed once and stored by their members; the text is not read."""
+    records = queue_shaped(_events(spark, sf_dir))
+    warehouse = Warehouse(spark, shared_folder(spark, "shredded-query"))
+    warehouse.append(silver.shredded(to_bronze(records, now=F.col("timestamp"))), SHREDDED_TABLE, "b_0")
+    bronze = warehouse.read(SHREDDED_TABLE).drop("event_data")
+    return silver.to_silver(silver.derive(silver.parse_shredded(bronze)))
+
+
 @query
 def json_document_comments(spark, sf_dir):
     """Whole document texts as edit comments: escaping and parsing of long texts."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revwatch.functions import text
 from revwatch.functions.columns import computed_once
@@ -52,6 +53,50 @@ def parse_events(bronze: DataFrame) -> DataFrame:
     return parsed.select(*bronze.columns, *fields)
 
 
+def shredded(bronze: DataFrame) -> DataFrame:
+    """Bronze rows with ``event``, the text parsed once; null where it is not a JSON object.
+
+    Stored as Parquet the members become columns of their own, and a reader that asks for
+    some paths reads these.
+    """
+    found = F.try_parse_json("event_data")
+    parsed = computed_once(bronze, {"_json": found})
+    is_object = F.startswith(F.schema_of_variant("_json"), F.lit("OBJECT"))
+    return parsed.withColumn("event", F.when(is_object, F.col("_json"))).drop("_json")
+
+
+def _member_type(path: str) -> T.DataType:
+    kind = EVENT
+    for name in path.split("."):
+        kind = kind[name].dataType
+    return kind
+
+
+def _member(path: str) -> Column:
+    """The member of ``event`` at a path, null where its type is not the record's.
+
+    As a parser with a schema has it: whole numbers alone are numbers, and a text column
+    takes the JSON of whatever else is there.
+    """
+    kind = _member_type(path)
+    value = F.try_variant_get("event", f"$.{path}", "variant")
+    is_a = F.schema_of_variant(value)
+    if isinstance(kind, T.StringType):
+        text = F.try_variant_get("event", f"$.{path}", "string")
+        return F.when(is_a == "STRING", text).when(is_a != "VOID", F.to_json(value))
+    wanted = "BOOLEAN" if isinstance(kind, T.BooleanType) else "BIGINT"
+    return F.when(is_a == wanted, F.try_variant_get("event", f"$.{path}", kind.simpleString()))
+
+
+def parse_shredded(bronze: DataFrame) -> DataFrame:
+    """As :func:`parse_events`, from the members of ``event`` instead of the text.
+
+    Numbers in text columns come out in their canonical form (``1.5`` for ``1.50``).
+    """
+    fields = [_member(path).alias(name) for name, path in EXTRACTED.items()]
+    return bronze.select(*(c for c in bronze.columns if c != "event"), *fields)
+
+
 def _size_change() -> Column:
     """New minus old length as BIGINT, so that extreme lengths cannot overflow."""
     old, new = (
@@ -142,5 +187,9 @@ def drop_replays(events: DataFrame, within: str | None = None) -> DataFrame:
 
 
 def bronze_to_silver(bronze: DataFrame) -> DataFrame:
-    """Parse, derive, drop replays and project: the whole step, batch or stream."""
-    return to_silver(drop_replays(derive(parse_events(bronze))))
+    """Parse, derive, drop replays and project: the whole step, batch or stream.
+
+    Rows with an ``event`` column (:func:`shredded`) are not parsed again.
+    """
+    parsed = parse_shredded(bronze) if "event" in bronze.columns else parse_events(bronze)
+    return to_silver(drop_replays(derive(parsed)))

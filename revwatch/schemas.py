@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     StringType,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 _TYPES = {
@@ -30,6 +31,7 @@ _TYPES = {
     "DATE": DateType(),
     "TIMESTAMP": TimestampType(),
     "ARRAY<STRING>": ArrayType(StringType()),
+    "VARIANT": VariantType(),
 }
 
 
@@ -72,6 +74,9 @@ BRONZE = _columns(
     """
 )
 
+#: The raw layer with each record parsed once, stored path by path beside its text.
+BRONZE_SHREDDED = StructType([*BRONZE.fields, *_columns("event VARIANT").fields])
+
 SILVER = _columns(
     """
     event_id STRING, event_data STRING, wikimedia_id BIGINT, meta_id STRING,
@@ -223,6 +228,7 @@ GOLD_GLOBAL_TABLE = "gold_global_metrics_10min"
 STATES_TABLE = "metric_states_10min"
 TOPICS_TABLE = "topics"
 LATE_TABLE = "silver_late"
+SHREDDED_TABLE = "bronze_shredded"
 
 TABLES = {
     BRONZE_TABLE: BRONZE,
@@ -230,6 +236,7 @@ TABLES = {
     GOLD_ENTITY_TABLE: GOLD_ENTITY,
     GOLD_USER_TABLE: GOLD_USER,
     GOLD_GLOBAL_TABLE: GOLD_GLOBAL,
+    SHREDDED_TABLE: BRONZE_SHREDDED,
     STATES_TABLE: METRIC_STATES,
     LATE_TABLE: SILVER_LATE,
     "bronze_quarantine": QUARANTINE,

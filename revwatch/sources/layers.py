@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from revwatch.schemas import BRONZE, BRONZE_TABLE, SILVER, SILVER_TABLE
+from revwatch.schemas import BRONZE, BRONZE_SHREDDED, BRONZE_TABLE, SHREDDED_TABLE, SILVER, SILVER_TABLE
 
 #: Batches so named put earlier rows in place again; a stream has delivered those already.
 REPLAY = "replay_"
@@ -27,10 +27,18 @@ def _follow(spark: SparkSession, path: str, schema, max_files: int | None) -> Da
 
 
 def follow_bronze(
-    spark: SparkSession, root: str, watermark: str = BRONZE_WATERMARK, max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    watermark: str = BRONZE_WATERMARK,
+    max_files: int | None = None,
+    shredded: bool = False,
 ) -> DataFrame:
-    """New Bronze rows, with the watermark the replay filter remembers ids for."""
-    rows = _follow(spark, f"{root}/{BRONZE_TABLE}", BRONZE, max_files)
+    """New Bronze rows, with the watermark the replay filter remembers ids for.
+
+    ``shredded`` follows the table of records that are parsed already.
+    """
+    table, schema = (SHREDDED_TABLE, BRONZE_SHREDDED) if shredded else (BRONZE_TABLE, BRONZE)
+    rows = _follow(spark, f"{root}/{table}", schema, max_files)
     return rows.withWatermark("ingestion_timestamp", watermark)
 
 

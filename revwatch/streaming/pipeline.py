@@ -13,7 +13,7 @@ from revwatch.operators.bronze import to_bronze
 from revwatch.operators.gold import entity_metrics, global_metrics, user_metrics
 from revwatch.operators.ingest import observed_routes, queue_records, route_counters, route_events
 from revwatch.operators.quality import QualityGate, bronze_gate, gold_gate, silver_gate
-from revwatch.operators.silver import bronze_to_silver
+from revwatch.operators.silver import bronze_to_silver, shredded
 from revwatch.schemas import (
     BRONZE_TABLE,
     GOLD_ENTITY_TABLE,
@@ -21,6 +21,7 @@ from revwatch.schemas import (
     GOLD_USER_TABLE,
     INGEST_COUNTERS,
     LATE_TABLE,
+    SHREDDED_TABLE,
     SILVER_TABLE,
     STATES_TABLE,
     TOPICS_TABLE,
@@ -125,10 +126,17 @@ def start_bronze(
     interval: str = BRONZE_TRIGGER,
     once: bool = False,
     now: Column | None = None,
+    shred: bool = False,
 ) -> StreamingQuery:
-    """Queue records to the raw table."""
-    write = batch_writer(warehouse, BRONZE_TABLE, gate, "bronze")
-    return start(to_bronze(records, now), write, checkpoint, interval, "bronze", once)
+    """Queue records to the raw table.
+
+    With ``shred`` they are parsed here, once for all layers, and stored with their members
+    as columns beside the text.
+    """
+    rows = to_bronze(records, now)
+    table = SHREDDED_TABLE if shred else BRONZE_TABLE
+    write = batch_writer(warehouse, table, gate, "bronze")
+    return start(shredded(rows) if shred else rows, write, checkpoint, interval, "bronze", once)
 
 
 def start_silver(
@@ -138,9 +146,10 @@ def start_silver(
     interval: str = SILVER_TRIGGER,
     once: bool = False,
     max_files: int | None = FILES_PER_TRIGGER,
+    from_shredded: bool = False,
 ) -> StreamingQuery:
-    """The raw table to the cleaned table."""
-    bronze = follow_bronze(warehouse.spark, warehouse.root, max_files=max_files)
+    """The raw table to the cleaned table; from the shredded one no text is parsed."""
+    bronze = follow_bronze(warehouse.spark, warehouse.root, max_files=max_files, shredded=from_shredded)
     write = batch_writer(warehouse, SILVER_TABLE, gate, "silver")
     return start(bronze_to_silver(bronze), write, checkpoint, interval, "silver", once)
 
