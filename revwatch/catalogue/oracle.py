@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from revwatch.catalogue.records import FAULTS, RECORD_COLUMNS
+from revwatch.sources.allowlist import DEFAULT_PAGES
 
 ADDRESS = r"^(\d{1,3}\.){3}\d{1,3}$|^([0-9a-fA-F]{0,4}:){2,7}[0-9a-fA-F]{0,4}$"
 
@@ -517,6 +518,15 @@ _INGEST_COUNTERS = f"""{ROUTED}
              {_count("route = 'malformed'")} + {_count("fault IN ('list', 'null_title')")} AS errors
             FROM routed"""
 
+_QUARANTINED = (*RECORD_COLUMNS, "ingestion_timestamp", "bytes_changed", "is_revert", "is_anonymous", "event_hour",
+                "processing_lag_seconds", "has_comment", "is_large_edit", "is_bot_consistent", "is_allowlisted", "event_date")
+_QUOTED = [[text.replace("'", "''") for text in (title, *aliases)] for title, aliases in DEFAULT_PAGES]
+_NEEDLES = ", ".join(
+    f"('{text}', '{names[0]}', {int(text != names[0])}, {place * 100 + i})"
+    for place, names in enumerate(_QUOTED)
+    for i, text in enumerate(names)
+)
+
 
 def oracle() -> dict[str, str]:
     """SQL per query; the sketch-based ones have none."""
@@ -533,6 +543,20 @@ def oracle() -> dict[str, str]:
              CAST(make_timestamp(event_timestamp * 1000000) AS DATE) AS event_date
             FROM records""",
         # All rows are of January and February, when Central European time is UTC+1.
+        "landing_read_back": f"""{BASE}, local AS (
+             SELECT ingestion_timestamp + INTERVAL 1 HOUR AS t FROM records)
+            SELECT strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
+             strftime(t, '%H') AS hour, count(*) AS records, count(*) AS decodable FROM local GROUP BY 1, 2, 3, 4""",
+        "sample_of_records": """SELECT CAST(25 AS BIGINT) AS taken, CAST(25 AS BIGINT) AS decodable, CAST(25 AS BIGINT) AS known""",
+        "alias_matches": f"""
+            WITH needles AS (SELECT raw, page, kind, position, row_number() OVER (ORDER BY raw) - 1 AS at
+             FROM (VALUES {_NEEDLES}) n(raw, page, kind, position)),
+            titles AS (SELECT event_id AS rid, upper(replace(raw, ' ', '_')) || ' ' || event_id AS title
+             FROM events JOIN needles n ON n.at = event_id % (SELECT count(*) FROM needles)),
+            plain AS (SELECT rid, lower(replace(title, '_', ' ')) AS t FROM titles),
+            fits AS (SELECT rid, page, row_number() OVER (PARTITION BY rid ORDER BY kind, position) AS first
+             FROM plain JOIN needles n ON contains(t, lower(n.raw)))
+            SELECT rid, 'enwiki:' || page AS canonical_entity FROM fits WHERE first = 1""",
         "landing_partitions": f"""{BASE}, local AS (
              SELECT ingestion_timestamp + INTERVAL 1 HOUR AS t FROM records)
             SELECT strftime(t, '%Y') AS year, strftime(t, '%m') AS month,
@@ -713,6 +737,15 @@ def oracle() -> dict[str, str]:
             SELECT event_date, count(*) AS repaired, CAST(0 AS INT) AS left_staged, CAST(0 AS INT) AS second_run_added
             FROM judged WHERE {REASONS} = 'freshness:processing_lag_seconds'
              AND processing_lag_seconds <= 7200 GROUP BY event_date""",
+        "batches_stored": f"""{BASE}, placed AS (
+             SELECT ok, CASE wikimedia_id % 3 WHEN 2 THEN 'ungated' ELSE 'part_' || (wikimedia_id % 3) END AS batch FROM judged)
+            SELECT 'silver_events' AS table_name, batch, count(*) AS rows FROM placed WHERE ok OR batch = 'ungated' GROUP BY 2
+            UNION ALL SELECT 'silver_quarantine', batch, count(*) FROM placed
+             WHERE NOT ok AND batch <> 'ungated' GROUP BY 2
+            UNION ALL SELECT 'commits', unnest(['part_0', 'part_1', 'ungated']), 1""",
+        "quarantined_columns": f"""{BASE}, failed AS (SELECT * FROM judged WHERE NOT ok)
+            SELECT member, rows FROM ({" UNION ALL ".join(
+                f"SELECT '{c}' AS member, count({c}) AS rows FROM failed" for c in _QUARANTINED)}) WHERE rows > 0""",
         "severity_history": f"""{_daily()}
             SELECT event_date, total_count, passed_count, pass_rate, failed_constraints,
              CASE WHEN pass_rate < {_double(0.8)} THEN 'CRITICAL'

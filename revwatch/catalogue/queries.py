@@ -22,11 +22,11 @@ from revwatch.plans import recovery, serving
 from revwatch.plans.staging import QuarantineStaging
 from revwatch.schemas import GOLD_ENTITY_TABLE, SHREDDED_TABLE, SILVER_TABLE, STATES_TABLE
 from revwatch.session import configure, shared_folder, written_once
-from revwatch.sinks.landing import read_topic, with_landing_folders
-from revwatch.sinks.layers import record_metrics
+from revwatch.sinks.landing import land_stream, read_topic, with_landing_folders
+from revwatch.sinks.layers import record_metrics, write_batch
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
-from revwatch.sources.files import to_backfill
+from revwatch.sources.files import sample_records, save_sample, to_backfill
 from revwatch.streaming import late
 from revwatch.streaming.pipeline import start, store_ingest
 
@@ -113,6 +113,36 @@ def backfill_bronze(spark, sf_dir):
     )
 
 
+@query
+def landing_read_back(spark, sf_dir):
+    """Records landed as JSON lines by a stream, per folder, as they are read back."""
+    root = shared_folder(spark, "landing-query")
+    queue_shaped(_events(spark, sf_dir)).select("value", "timestamp").write.parquet(f"{root}/queue")
+    records = spark.readStream.schema("value binary, timestamp timestamp").parquet(f"{root}/queue")
+    land_stream(records, f"{root}/landed", f"{root}/checkpoint", once=True, records_per_file=10_000).awaitTermination()
+    kinds = "value string, year string, month string, day string, hour string"
+    landed = spark.read.schema(kinds).format("text").load(f"{root}/landed")
+    return landed.groupBy("year", "month", "day", "hour").agg(
+        F.count("*").alias("records"), F.count_if(F.try_parse_json("value").isNotNull()).alias("decodable")
+    )
+
+
+@query
+def sample_of_records(spark, sf_dir):
+    """A sample of raw texts: as many as asked for, all decodable, all of them among the texts."""
+    root = shared_folder(spark, "sample-query")
+    texts = raw_texts(_events(spark, sf_dir)).where("value IS NOT NULL").select("value")
+    texts.write.text(f"{root}/texts")
+    save_sample(sample_records(spark, f"{root}/texts", 25), f"{root}/sample")
+    sample = spark.read.text(f"{root}/sample")
+    known = sample.join(texts.distinct(), "value", "left_semi").agg(F.count("*").alias("known")).first()[0]
+    return sample.agg(
+        F.count("*").alias("taken"),
+        F.count_if(F.try_parse_json("value").isNotNull()).alias("decodable"),
+        F.lit(known).cast("bigint").alias("known"),
+    )
+
+
 @query
 def landing_partitions(spark, sf_dir):
     """Records per landing folder (hours of Central European time)."""
@@ -216,6 +246,18 @@ def allowlist_match_shuffled(spark, sf_dir):
     return _matched(spark, sf_dir, "grams")
 
 
+@query
+def alias_matches(spark, sf_dir):
+    """Every title and alias of the monitored pages, written in another way, and the page it leads to."""
+    texts = sorted((n.raw, n.wiki) for n in default_allowlist())
+    numbered = spark.createDataFrame([(at, *text) for at, text in enumerate(texts)], "at bigint, raw string, wiki string")
+    events = _events(spark, sf_dir).select((F.col("event_id") % len(texts)).alias("at"), "event_id")
+    titles = events.join(F.broadcast(numbered), "at").select(
+        F.col("event_id").alias("rid"), "wiki", F.concat(F.upper(F.translate("raw", " ", "_")), F.lit(" "), "event_id").alias("title")
+    )
+    return matching.match_entity(titles, default_allowlist()).select("rid", "canonical_entity")
+
+
 @query
 def match_tables_shuffled(spark, sf_dir):
     """Part names and page addresses against needle lists made from the tables themselves."""
@@ -540,6 +582,42 @@ def _gated_batches(spark, sf_dir):
     return warehouse
 
 
+@query
+def batches_stored(spark, sf_dir):
+    """Rows per table and batch after gated batches, one of them empty, and one without a gate.
+
+    Silver holds what passes, quarantine what fails; the empty batch leaves nothing at all.
+    """
+    warehouse = Warehouse(spark, shared_folder(spark, "layers-query"))
+    rows = silver.to_silver(_derived(spark, sf_dir).withColumn("event_data", F.col("rid").cast("string")))
+    part = F.col("wikimedia_id") % 3
+    for name, chosen in {"part_0": part == 0, "part_1": part == 1, "empty": F.lit(False)}.items():
+        write_batch(warehouse, SILVER_TABLE, rows.filter(chosen), name, quality.silver_gate(), keep=False)
+    write_batch(warehouse, SILVER_TABLE, rows.filter(part == 2), "ungated", None, keep=False)
+    counted = [
+        warehouse.read(name).withColumn("batch", F.col("event_data") if batch is None else F.col(batch))
+        for name, batch in ((SILVER_TABLE, None), ("silver_quarantine", "quarantine_batch_id"))
+    ]
+    # A stored Silver row does not name its batch; the record's number does.
+    number = F.col("batch").cast("bigint") + 1
+    stored = counted[0].withColumn("batch", F.when(number % 3 == 2, "ungated").otherwise(F.concat(F.lit("part_"), number % 3)))
+    commits = warehouse.commits(SILVER_TABLE).select(F.lit("commits").alias("table_name"), F.col("batch_id").alias("batch"))
+    return (
+        stored.select(F.lit(SILVER_TABLE).alias("table_name"), "batch")
+        .unionAll(counted[1].select(F.lit("silver_quarantine"), "batch"))
+        .unionAll(commits)
+        .groupBy("table_name", "batch")
+        .agg(F.count("*").alias("rows"))
+    )
+
+
+@query
+def quarantined_columns(spark, sf_dir):
+    """Members of the quarantined originals: no flag or clock of the gate is among them."""
+    record = F.explode(F.json_object_keys("original_record")).alias("member")
+    return _quarantined(spark, sf_dir).select(record).groupBy("member").agg(F.count("*").alias("rows"))
+
+
 @query
 def suite_verdict_merged(spark, sf_dir):
     """The suite over a table, from the counts its batches left."""
