@@ -53,7 +53,10 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
+        # Two generations: when the younger is full it takes the older one's place, and words
+        # that are met again come back from there. Frequent words are never lost.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -70,11 +73,14 @@ class WordTokens:
         return text.lower().replace("\n", " ").replace(". ", " . ").replace(", ", " , ").split()
 
     def _know(self, words: set[str]) -> None:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > self.cached:
-            known.clear()
-            new = list(words)
+        missing = words.difference(self.known)
+        if len(self.known) + len(missing) > self.cached // 2:
+            self.known, self.older = {}, self.known
+            missing = words
+        known, older = self.known, self.older
+        again = missing.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        new = list(missing.difference(again))
         for at in range(0, len(new), 1000):  # encodings die young, before garbage is looked for
             some = new[at : at + 1000]
             coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)

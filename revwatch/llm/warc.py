@@ -36,6 +36,9 @@ PACKAGE_BYTES = 32 << 20
 MIN_PAYLOAD = 100
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:x-page:"
+_NO_ID = "urn:x-no-page"
+#: Packages a reading task takes, where there are more than the session's shuffle partitions.
+PACKAGES_PER_TASK = 4
 
 
 def file_at(uri: str) -> tuple[fs.FileSystem, str]:
@@ -43,11 +46,12 @@ def file_at(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def _uri(page_id: str | None) -> str:
-    return f"<{_ID}{quote(page_id, safe='')}>" if page_id is not None else f"<{_ID}>"
+    return f"<{_ID}{quote(page_id, safe='')}>" if page_id is not None else f"<{_NO_ID}>"
 
 
 def _page_id(uri: str) -> str | None:
-    return unquote(uri.strip("<>").removeprefix(_ID)) or None
+    name = uri.strip("<>")
+    return None if name == _NO_ID else unquote(name.removeprefix(_ID))
 
 
 def record(page_id: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None, date: str) -> bytes:
@@ -228,6 +232,17 @@ def read_packages(manifest: DataFrame) -> DataFrame:
     )
 
 
+def dealt(manifest: DataFrame) -> DataFrame:
+    """The packages, the units of reading, dealt to as many tasks as they can use.
+
+    The number is stated, as a manifest is so small that Spark would gather it in one task.
+    """
+    packages = manifest.count()
+    shuffled = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(packages, shuffled), -(-packages // PACKAGES_PER_TASK), 1)
+    return manifest.repartition(tasks, "package")
+
+
 def archived(pages: DataFrame) -> DataFrame:
     """Writes ``pages`` to packages and reads them back; one row per row of ``pages``.
 
@@ -240,8 +255,7 @@ def archived(pages: DataFrame) -> DataFrame:
     if "://" not in folder and folder.startswith("file:"):
         folder = folder.replace("file:", "file://", 1)
     manifest = write_packages(pages, folder)
-    # Packages are the units of reading: a few to a task at the most.
-    rows = written(read_packages(manifest.repartition(F.col("package"))), "records")
+    rows = written(read_packages(dealt(manifest)), "records")
     sizes = (
         rows.where("record_type = 'response' and page_id is not null")
         .groupBy("page_id", "payload_digest")

@@ -9,6 +9,7 @@ import zipfile
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from revwatch.llm import styletree, urlrules, warc, zipio
 
@@ -123,6 +124,34 @@ def test_archives_round_trip(pages):
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found) == expected
 
 
+def test_empty_ids_and_no_ids_are_told_apart(spark):
+    text = "<p>" + "same " * 40 + "</p>"
+    rows = [("", "u", text), ("b", "u", text), (None, "u", text), ("", "u", "short"), (None, "u", None)]
+    found = warc.archived(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    size = len(text.encode())
+    assert sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in found), key=repr) == sorted(
+        [
+            ("", "response", None, size),
+            ("b", "revisit", "", size),
+            (None, "revisit", "", size),
+            ("", "response", None, 5),
+            (None, "response", None, 0),
+        ],
+        key=repr,
+    )
+
+
+def test_packages_are_read_in_many_tasks(spark):
+    manifest = spark.createDataFrame([(f"p{i}", 12) for i in range(211)], "package string, records long").coalesce(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        parts = warc.dealt(manifest).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(parts) > 50 and max(r["count"] for r in parts) <= 12
+
+
 def test_archives_of_nothing(pages):
     assert warc.archived(pages([])).count() == 0
 
