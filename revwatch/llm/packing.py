@@ -78,9 +78,13 @@ class WordTokens:
             self.known, self.older = {}, self.known
             missing = words
         known, older = self.known, self.older
-        again = missing.intersection(older)
-        known.update(zip(again, map(older.__getitem__, again)))
-        new = list(missing.difference(again))
+        new = []
+        for word in missing:  # an intersection with a dictionary would walk all of it
+            coded = older.get(word)
+            if coded is None:
+                new.append(word)
+            else:
+                known[word] = coded
         for at in range(0, len(new), 1000):  # encodings die young, before garbage is looked for
             some = new[at : at + 1000]
             coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
