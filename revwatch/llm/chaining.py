@@ -1,9 +1,11 @@
 """Fuzzy repeated passages by collinear chaining of shared k-mers (operator 9).
 
-Exact copies are one document first. Every document gives the seeds of its minimizers:
-of any ``SPAN`` consecutive k-mers the one of least hash, so a shared run of ``SEED + SPAN
-- 1`` words shares a seed. Seeds meet by value; each links to its value's first document, so a
-passage held by n documents makes n links and not their square. Per pair of documents the
+Exact copies are one document first. Every document gives its minimizers, of any ``SPAN``
+consecutive k-mers the one of least hash, and each minimizer with the next one is a seed:
+k-mers that lie less than their length apart, so that a seed stands for a run of 6 to 9
+words, and a shared run of ``SEED + 2 * SPAN - 1`` words always shares a seed. Seeds meet by
+value; each links to its value's first document, so a passage held by n documents makes n
+links and not their square. Per pair of documents the
 ordered matches are chained: a chain's score is the words of its seeds less a cost for
 gaps in either document, and a Fenwick tree holds the best score by place, so chaining n
 matches takes n log n steps. Chains are then aligned on the words themselves, which
@@ -19,15 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from revwatch.llm.common import folded_words, text_of, written
 
 SEED = 5
-SPAN = 16
+SPAN = 4
 MIN_WORDS = 50
 MIN_IDENTITY = 0.8
+#: Words between the ends of a chain that is aligned.
+CANDIDATE = 8
 #: Cost of a word of gap in either document; a gap of 25 words in both costs a seed.
 GAP = 0.1
 #: Words on either side of a chain that may extend it, and words a chunk holds.
@@ -35,32 +40,41 @@ EXTEND = 64
 CHUNK = 64
 #: How far an extension's score may fall below its best.
 DROP = 6
+#: Seeds that are looked up in a broadcast list, and the share of rows that are searched for them.
+#: Either way gives the same links: the list only keeps frequent seeds off a single task.
+FREQUENT = 1000
+SEARCHED = 0.02
+#: Seeds a batch may hold before it is passed on.
+BATCH = 500_000
 
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(SEED)], np.uint64)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
+    """32 bits of each word's hash."""
     words = folded_words(text)
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).astype("<u4")
 
 
-def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(k-mer hash, place) of each minimizer."""
+def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place of the first k-mer, distance of the second) of each pair of neighbouring minimizers."""
     n = len(hashes) - SEED + 1
-    if n < 1:
-        return np.array([], np.uint64), np.array([], np.int64)
+    if n <= SPAN:
+        return np.array([], np.uint64), np.array([], np.int64), np.array([], np.int64)
+    wide = hashes.astype(np.uint64)
     mers = np.zeros(n, np.uint64)
     for i, factor in enumerate(_FACTORS):
-        mers += hashes[i : i + n] * factor
+        mers += wide[i : i + n] * factor
     mers ^= mers >> np.uint64(29)
     mers *= np.uint64(0xBF58476D1CE4E5B9)
     mers ^= mers >> np.uint64(32)
-    if n <= SPAN:
-        places = np.array([int(mers.argmin())])
-    else:
-        windows = np.lib.stride_tricks.sliding_window_view(mers, SPAN)
-        places = np.unique(windows.argmin(axis=1) + np.arange(n - SPAN + 1))
-    return mers[places], places
+    windows = np.lib.stride_tricks.sliding_window_view(mers, SPAN)
+    places = windows.argmin(axis=1) + np.arange(n - SPAN + 1)
+    places = places[np.concatenate([[True], places[1:] != places[:-1]])]
+    first, second = places[:-1], places[1:]
+    apart = second - first
+    values = mers[first] * _FACTORS[0] + mers[second] * _FACTORS[1] + apart.astype(np.uint64)
+    return values ^ (values >> np.uint64(31)), first, apart
 
 
 class Fenwick:
@@ -111,27 +125,26 @@ def chains(left: np.ndarray, right: np.ndarray) -> Iterator[list[int]]:
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains of each (doc, other), whose matches come together, ordered by place."""
-    names = ("doc", "other", "place", "other_place")
-    rest = [np.array([], np.int64)] * 4
+    """Chains of each (row, other), whose matches come together, ordered by place."""
+    names = ("row", "other", "place", "other_place", "apart")
+    rest = [np.array([], np.int64)] * len(names)
 
     def emit(columns: list[np.ndarray]) -> pa.RecordBatch:
-        doc, other, place, other_place = columns
-        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (other[1:] != other[:-1])]))
-        ends = np.append(new[1:], len(doc))
+        row, other, place, other_place, apart = columns
+        new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (other[1:] != other[:-1])]))
         out: list[tuple] = []
-        for a, b in zip(new[ends - new > 1].tolist(), ends[ends - new > 1].tolist(), strict=True):
-            x, first = np.unique(place[a:b], return_index=True)
-            y = other_place[a:b][first]
+        for a, b in zip(new.tolist(), np.append(new[1:], len(row)).tolist(), strict=True):
+            # Both k-mers of a seed are matches; one that begins a seed of its own stands as that.
+            x, first = np.unique(np.concatenate([place[a:b], place[a:b] + apart[a:b]]), return_index=True)
+            y = np.concatenate([other_place[a:b], other_place[a:b] + apart[a:b]])[first]
             for chain in chains(x, y):
                 xs, ys = x[chain], y[chain]
-                # Seeds lie within SPAN of a shared passage's ends.
-                if xs[-1] + SEED - xs[0] >= MIN_WORDS - 2 * (SPAN - 1):
-                    out.append((int(doc[a]), int(other[a]), xs.tolist(), ys.tolist()))
+                if xs[-1] + SEED - xs[0] >= CANDIDATE:
+                    out.append((int(row[a]), int(other[a]), xs.tolist(), ys.tolist()))
         columns = list(zip(*out, strict=True)) if out else [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc", "other", "xs", "ys"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "other", "xs", "ys"]
         )
 
     for batch in batches:
@@ -253,36 +266,45 @@ def align(xs: np.ndarray, ys: np.ndarray, a: np.ndarray, b: np.ndarray, a0: int,
     return out
 
 
+@F.arrow_udf(BinaryType())
+def _words(text: pa.Array) -> pa.Array:
+    return pa.array([word_hashes(t.as_py()).tobytes() for t in text], pa.binary())
+
+
 def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        at = pa.array(np.concatenate([np.full(len(f[1]), f[0]) for f in found]))
+        seed, place, apart = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
+        columns = [
+            pa.array(seed.view(np.int64)), batch.column("doc_id").take(at), batch.column("row").take(at),
+            pa.array(place), pa.array(apart),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["seed", "doc_id", "row", "place", "apart"])
+
     for batch in batches:
-        docs, mers, places = [], [], []
-        for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text"), strict=True):
-            mer, place = seeds(word_hashes(text.as_py()))
-            docs.append(np.full(len(mer), doc, np.int64))
-            mers.append(mer)
-            places.append(place)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([np.array([], np.uint64), *mers]).view(np.int64)),
-                pa.array(np.concatenate([np.array([], np.int64), *docs])),
-                pa.array(np.concatenate([np.array([], np.int64), *places])),
-            ],
-            names=["mer", "doc", "place"],
-        )
+        found, held = [], 0
+        for i, words in enumerate(batch.column("words")):
+            found.append((i, *seeds(np.frombuffer(words.as_buffer(), "<u4"))))
+            held += len(found[-1][1])
+            if held >= BATCH:
+                yield emit(batch, found)
+                found, held = [], 0
+        if found:
+            yield emit(batch, found)
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text"), strict=True):
-            data = word_hashes(text.as_py()).astype("<u4")  # the low halves are enough to align
-            starts = range(0, len(data), CHUNK)
+        for row, words in zip(batch.column("row").to_pylist(), batch.column("words"), strict=True):
+            data = words.as_py()
+            starts = range(0, len(data), 4 * CHUNK)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([doc] * len(starts), pa.int64()),
-                    pa.array([s // CHUNK for s in starts], pa.int64()),
-                    pa.array([data[s : s + CHUNK].tobytes() for s in starts], pa.binary()),
+                    pa.array([row] * len(starts), pa.int64()),
+                    pa.array([s // (4 * CHUNK) for s in starts], pa.int64()),
+                    pa.array([data[s : s + 4 * CHUNK] for s in starts], pa.binary()),
                 ],
-                names=["doc", "chunk", "words"],
+                names=["row", "chunk", "words"],
             )
 
 
@@ -293,19 +315,46 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         rows = []
-        for doc, other, xs, ys, chunks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for row, other, xs, ys, chunks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             (a, a0), (b, b0) = joined(chunks, False), joined(chunks, True)
             for start, end, other_start, other_end, identity in align(np.array(xs), np.array(ys), a, b, a0, b0):
                 if end - start >= MIN_WORDS and identity >= MIN_IDENTITY:
-                    rows.append((doc, start, end, other, other_start, other_end, identity))
+                    rows.append((row, start, end, other, other_start, other_end, identity))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
         kinds = [*[pa.int64()] * 6, pa.float64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["doc", "start", "end", "other", "other_start", "other_end", "identity"],
+            names=["row", "start", "end", "other", "other_start", "other_end", "identity"],
         )
 
 
+def _matches(single: DataFrame) -> DataFrame:
+    """Each seed with the first holder of its value: row, other, place, other_place, apart.
+
+    First is the least doc_id, then row, then place. Seeds shuffle once, by value. Values
+    that are frequent among ``SEARCHED`` of the rows, ``FREQUENT`` of them at the most, are
+    aggregated on the map side and looked up where they are, so none gathers in one task.
+    """
+    kind = single.schema["doc_id"].dataType.simpleString()
+
+    def seeded(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(_seeded, f"seed long, doc_id {kind}, row long, place long, apart long")
+
+    searched = seeded(single.sample(SEARCHED, seed=1)).groupBy("seed").count().where("count > 1")
+    frequent = F.broadcast(written(searched.orderBy(F.desc("count"), "seed").limit(FREQUENT).select("seed"), "frequent"))
+    place = F.struct("doc_id", "row", "place")
+
+    often = written(seeded(single).join(frequent, "seed"), "frequent-seeds")
+    holders = written(often.groupBy("seed").agg(F.min(place).alias("least")), "frequent-holders")
+    looked_up = often.join(F.broadcast(holders), "seed")
+
+    so_far = Window.partitionBy("seed").orderBy("doc_id", "row", "place").rowsBetween(Window.unboundedPreceding, 0)
+    met = seeded(single).join(frequent, "seed", "left_anti").withColumn("least", F.first(place).over(so_far))
+    return looked_up.unionByName(met).where("doc_id <> least.doc_id").select(
+        "row", F.col("least.row").alias("other"), "place", F.col("least.place").alias("other_place"), "apart"
+    )
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Passages of 50 words or more that ``docs`` (doc_id, text) share, at 0.8 identity or more.
 
@@ -313,76 +362,75 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     of smaller doc_id; n_words is its length. An exact copy is linked whole with the
     least doc_id of its text and not expanded further. Words are runs of letters, digits and
     non-ASCII characters, in lower case. Where the seeds at a passage's end are first
-    held by a third document, words may be missing there, and a passage whose parts are all
-first held by others may be lost. Null, empty and short texts share nothing; rows
+    held by a third document, words may be missing there, and a passage all of whose seeds
+    are first held by others may be lost. Null, empty and short texts share nothing; rows
     without doc_id are left out, and rows that repeat a doc_id are one document each but
-    are not compared with one another. Other columns are ignored.
+    are not compared with one another; of such rows with equal texts one counts. doc_id
+    may be of any type that has an order. Other columns are ignored.
     """
-    wanted = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc"), text_of().alias("text")
-    )
+    text = text_of().alias("text")
     keys = [F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), F.length("text").alias("h3")]
-    marked = written(wanted.select("doc", *keys), "text-keys")
-    first = marked.groupBy("h1", "h2", "h3").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
-    again = first.where("n > 1").drop("n")
+    base = written(
+        docs.where("doc_id is not null").select("doc_id", text)
+        .select("doc_id", *keys, _words("text").alias("words"))
+        .withColumn("n_words", (F.octet_length("words") / 4).cast("long"))
+        .withColumn("row", F.monotonically_increasing_id()),
+        "words",
+    )
+    marked = base.where(F.col("n_words") >= MIN_WORDS).select("row", "doc_id", "h1", "h2", "h3", "n_words")
+    first = marked.groupBy("h1", "h2", "h3").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n"))
     copies = written(
-        marked.join(again, ["h1", "h2", "h3"]).where("doc <> first").select("doc", "first").distinct(), "text-copies"
-    )
-    single = wanted.join(copies.select("doc"), "doc", "left_anti")
-
-    seeded = written(single.mapInArrow(_seeded, "mer long, doc long, place long"), "seeds")
-    shared = (
-        seeded.groupBy("mer")
-        .agg(F.min(F.struct("doc", "place")).alias("least"), F.max("doc").alias("last"))
-        .where(F.col("least.doc") < F.col("last"))
-        .select("mer", F.col("least.doc").alias("other"), F.col("least.place").alias("other_place"))
-    )
-    matches = seeded.join(shared, "mer").where("doc <> other").select("doc", "other", "place", "other_place")
-    ordered = matches.repartition("doc", "other").sortWithinPartitions("doc", "other", "place", "other_place")
+        marked.join(first.where("n > 1").drop("n"), ["h1", "h2", "h3"]).where("row <> first.row")
+        .select("row", "doc_id", "n_words", F.col("first.doc_id").alias("source_id")),
+        "text-copies",
+    )
+    single = (
+        base.where(F.col("n_words") >= MIN_WORDS).join(copies.select("row"), "row", "left_anti")
+        .select("row", "doc_id", "words")
+    )
+
+    ordered = _matches(single).repartition("row", "other").sortWithinPartitions("row", "other", "place", "other_place")
     found = written(
-        ordered.mapInArrow(_chained, "doc long, other long, xs array<long>, ys array<long>")
+        ordered.mapInArrow(_chained, "row long, other long, xs array<long>, ys array<long>")
         .withColumn("chain", F.monotonically_increasing_id()),
         "chains",
     )
 
-    def needs(doc: str, places: str, other: bool) -> DataFrame:
+    def needs(row: str, places: str, other: bool) -> DataFrame:
         low = F.greatest(F.get(places, F.lit(0)) - EXTEND, F.lit(0)) / CHUNK
         high = (F.get(places, F.size(places) - 1) + SEED + EXTEND) / CHUNK
         chunks = F.sequence(F.floor(low), F.floor(high))
-        return found.select(F.col(doc).alias("doc"), F.explode(chunks).alias("chunk"), "chain", F.lit(other).alias("other"))
+        return found.select(F.col(row).alias("row"), F.explode(chunks).alias("chunk"), "chain", F.lit(other).alias("other"))
 
-    needed = needs("doc", "xs", False).unionAll(needs("other", "ys", True))
-    involved = found.select(F.explode(F.array("doc", "other")).alias("doc")).distinct()
+    needed = needs("row", "xs", False).unionAll(needs("other", "ys", True))
+    involved = found.select(F.explode(F.array("row", "other")).alias("row")).distinct()
     chunks = written(
-        single.join(involved, "doc", "left_semi").mapInArrow(_chunked, "doc long, chunk long, words binary"),
+        single.join(involved, "row", "left_semi").select("row", "words")
+        .mapInArrow(_chunked, "row long, chunk long, words binary"),
         "chunks",
-    )
+    )
+    # One plan at all sizes.
     slices = (
-        needed.join(chunks, ["doc", "chunk"])
+        needed.hint("merge").join(chunks.hint("merge"), ["row", "chunk"])
         .groupBy("chain")
         .agg(F.collect_list(F.struct("other", "chunk", "words")).alias("chunks"))
-    )
-    aligned = (
-        found.join(slices, "chain").select("doc", "other", "xs", "ys", "chunks")
-        .mapInArrow(_aligned, "doc long, start long, end long, other long, other_start long, other_end long, identity double")
     )
-    sizes = wanted.join(copies, "doc").select("doc", "first", "text").mapInArrow(
-        _whole, "doc long, start long, end long, other long, other_start long, other_end long, identity double"
-    )
-    return aligned.unionAll(sizes).select(
-        F.col("doc").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"),
-        F.col("other").alias("source_id"), F.col("other_start").alias("source_start"),
-        F.col("other_end").alias("source_end"), F.round("identity", 4).alias("identity"),
+    aligned = written(
+        found.hint("merge").join(slices.hint("merge"), "chain").select("row", "other", "xs", "ys", "chunks")
+        .mapInArrow(_aligned, "row long, start long, end long, other long, other_start long, other_end long, identity double"),
+        "passages",
+    )
+    ids = base.select("row", "doc_id")
+    sources = base.select(F.col("row").alias("other"), F.col("doc_id").alias("source_id"))
+    passages = aligned.join(ids, "row").join(sources, "other").select(
+        "doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"),
+        "source_id", F.col("other_start").alias("source_start"), F.col("other_end").alias("source_end"),
+        F.round("identity", 4).alias("identity"),
+    )
+    zero, whole = F.lit(0).cast("long"), F.col("n_words")
+    return passages.unionByName(
+        copies.where("doc_id <> source_id").select(
+            "doc_id", zero.alias("start"), whole.alias("end"), "n_words",
+            "source_id", zero.alias("source_start"), whole.alias("source_end"), F.lit(1.0).alias("identity"),
+        )
     )
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Copies as passages that are the whole text."""
-    for batch in batches:
-        n = np.array([len(folded_words(t.as_py())) for t in batch.column("text")], np.int64)
-        long = pa.array(n >= MIN_WORDS)
-        zero, ends = pa.array(np.zeros(len(n), np.int64)), pa.array(n)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), zero, ends, batch.column("first"), zero, ends, pa.array(np.ones(len(n)))],
-            names=["doc", "start", "end", "other", "other_start", "other_end", "identity"],
-        ).filter(long)

@@ -264,6 +264,76 @@ def test_pieces_of_a_chain_equal_brute_force():
         assert any(i <= a and b <= j for i, j in found for a in range(n + 1) for b in range(a, n + 1) if score(a, b) == best)
 
 
+def test_rows_of_one_doc_id_are_documents_of_their_own(frame):
+    r = random.Random(21)
+    passage, other, body = prose(r, 70), prose(r, 300), prose(r, 200)
+    rows = [
+        (1, f"{prose(r, 30)} {passage} {prose(r, 20)}"),
+        (5, f"{prose(r, 150)} {passage} {prose(r, 150)}"),
+        (5, f"{prose(r, 90)} {other} {prose(r, 200)}"),
+        (5, body), (5, body), (5, f"{prose(r, 10)} {passage}"),
+        (8, f"{other} {prose(r, 60)}"), (9, body),
+    ]
+    found = {(x.doc_id, x.source_id, x.start, x.end, x.source_start, x.source_end, x.identity) for x in chaining.repeated_passages(frame(rows)).collect()}
+    assert found == {
+        (5, 1, 150, 220, 30, 100, 1.0), (5, 1, 10, 80, 30, 100, 1.0), (8, 5, 0, 300, 90, 390, 1.0), (9, 5, 0, 200, 0, 200, 1.0),
+    }
+
+
+def test_text_ids(spark):
+    r = random.Random(22)
+    passage, copy = prose(r, 60), prose(r, 80)
+    rows = [("b", f"{passage} {prose(r, 20)}"), ("a", f"{prose(r, 20)} {passage}"), ("d", copy), ("c", copy), (None, copy)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {(x.doc_id, x.source_id, x.start, x.end) for x in chaining.repeated_passages(df).collect()}
+    assert found == {("b", "a", 0, 60), ("d", "c", 0, 80)}
+
+
+def substituted(r, words, identity):
+    out = list(words)
+    for i in r.sample(range(len(out)), round(len(out) * (1 - identity))):
+        out[i] = "changed" + out[i]
+    return out
+
+
+def test_fuzzy_passages_are_reported(frame):
+    r = random.Random(23)
+    some = lambda n: [f"w{r.randrange(20000)}" for _ in range(n)]
+    rows, kinds = [], {}
+    for kind in ((60, 0.9), (60, 0.85), (100, 0.9), (200, 0.85)):
+        for _ in range(40):
+            passage, k = some(kind[0]), len(rows)
+            rows += [(k, " ".join(some(40) + passage + some(40)))]
+            rows += [(k + 1, " ".join(some(30) + substituted(r, passage, kind[1]) + some(50)))]
+            kinds[k + 1] = kind
+    found = {x.doc_id for x in chaining.repeated_passages(frame(rows)).collect()}
+    assert found <= set(kinds)
+    for kind in set(kinds.values()):
+        own = {k for k, v in kinds.items() if v == kind}
+        assert len(own & found) >= 0.85 * len(own), kind
+
+
+def test_common_phrases_in_earlier_documents_do_not_hide_a_passage(frame):
+    r = random.Random(24)
+    passage = prose(r, 120).split()
+    # Every five words of it are first held by some earlier document.
+    rows = [(i, f"{prose(r, 40)} {' '.join(passage[i : i + 5])} {prose(r, 40)}") for i in range(116)]
+    rows += [(200 + i, f"{prose(r, 30)} {' '.join(passage)} {prose(r, 30)}") for i in range(3)]
+    found = [x for x in chaining.repeated_passages(frame(rows)).collect()]
+    assert sorted((x.doc_id, x.source_id, x.start, x.end) for x in found) == [(201, 200, 30, 150), (202, 200, 30, 150)]
+
+
+def test_frequent_seeds_give_the_same_links(frame, monkeypatch):
+    r = random.Random(25)
+    shared = prose(r, 60)
+    rows = [(i, f"{prose(r, r.randint(0, 60))} {shared} {'again ' * r.randint(0, 80)}") for i in range(80)]
+    results = []
+    for share in (0.0, 1.0):
+        monkeypatch.setattr(chaining, "SEARCHED", share)
+        results.append(sorted(map(tuple, chaining.repeated_passages(frame(rows)).collect())))
+    assert results[0] == results[1] and len({x[0] for x in results[0]}) == 79
+
+
 def test_passages_of_nothing(frame):
     assert chaining.repeated_passages(frame([])).count() == 0
     assert chaining.repeated_passages(frame([(None, prose(random.Random(1), 80)), (1, None)])).count() == 0
