@@ -862,6 +862,9 @@ def oracle() -> dict[str, str]:
         "stream_late_rows": f"""{BASE}
             SELECT {_count(f"{_window_end(HOUR)} <= {_CLOSED}")} AS windowed, true AS some_late,
              CAST(0 AS BIGINT) AS other_reasons, true AS all_of_the_first_file FROM derived""",
+        "stream_after_rollback": f"""{BASE}
+            SELECT event_date, count(*) AS rows, {_count("is_bot")} AS bot_rows FROM cleaned
+            WHERE event_date < DATE '2024-01-15' OR NOT coalesce(is_bot, false) GROUP BY 1""",
         "stream_entity_metrics": f"""{_entity(HOUR, "derived")}
             SELECT window_start, window_end, entity, wiki, total_events, edit_count, revert_count,
              anonymous_edit_count, total_bytes_changed, revert_ratio, anonymous_ratio,

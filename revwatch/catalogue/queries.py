@@ -27,6 +27,7 @@ from revwatch.sinks.layers import record_metrics, write_batch
 from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
 from revwatch.sources.files import sample_records, save_sample, to_backfill
+from revwatch.sources.layers import follow_silver
 from revwatch.streaming import late
 from revwatch.streaming.pipeline import start, store_ingest
 
@@ -1148,6 +1149,25 @@ def stream_late_rows(spark, sf_dir):
     )
 
 
+@query
+def stream_after_rollback(spark, sf_dir):
+    """Rows per date that a stream takes up from a table whose second of three batches was rolled back.
+
+    The third batch has the rows of the second again, without those of bots.
+    """
+    warehouse = Warehouse(spark, shared_folder(spark, "rolled-back"))
+    rows = _stored(spark, sf_dir)
+    early = F.col("event_date") < F.lit(REPLAY_FROM)
+    warehouse.append(rows.filter(early), SILVER_TABLE, "batch-1")
+    first = utc_now()
+    warehouse.append(rows.filter(~early), SILVER_TABLE, "batch-2")
+    warehouse.rollback(SILVER_TABLE, first)
+    warehouse.append(rows.filter(~early & ~F.coalesce("is_bot", F.lit(False))), SILVER_TABLE, "batch-3")
+    followed = follow_silver(spark, warehouse.root, once_per_record=False)
+    taken = _drained(spark, followed.select("event_date", "is_bot"), "stream-rolled-back", "taken")
+    return taken.groupBy("event_date").agg(F.count("*").alias("rows"), F.count_if("is_bot").alias("bot_rows"))
+
+
 @query
 def stream_user_metrics(spark, sf_dir):
     metrics = gold.user_metrics(_stream_rows(spark, sf_dir), "1 hour").select(*STREAMED_USER)

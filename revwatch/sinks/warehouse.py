@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,6 +33,9 @@ PARTITIONS = {
 }
 COMMIT_LOG = "commits"
 
+#: Rows a file is meant to hold where Spark cannot cut files by size.
+ROWS_PER_FILE = 1_000_000
+
 
 class SchemaDrift(ValueError):
     """A stored table does not have the columns a writer would add to it."""
@@ -103,7 +108,7 @@ class Warehouse:
         """
         if self.is_committed(table, batch_id):
             return
-        self._store(df, table, batch_id, partition_by, gather)
+        self._store(df, table, batch_id, partition_by, gather, row_count)
         self._commit(table, batch_id, APPEND, row_count=row_count)
 
     def replace_from(
@@ -127,7 +132,7 @@ class Warehouse:
         stamp = f"rollback-{utc_now():%Y%m%dT%H%M%S%f}"
         self._commit(table, stamp, ROLLBACK, restored_to=to)
 
-    def _store(self, df, table, batch_id, partition_by=None, gather=True) -> None:
+    def _store(self, df, table, batch_id, partition_by=None, gather=True, row_count=None) -> None:
         schema = TABLES.get(table)
         partition_by = partition_by or PARTITIONS.get(table, ("event_date",))
         if schema is not None:
@@ -135,8 +140,11 @@ class Warehouse:
             if missing:
                 raise SchemaDrift(f"{table} needs the columns {missing}")
             df = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
-        if gather:
+        if gather and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             df = df.hint("rebalance", *partition_by)
+        elif gather and row_count is not None:
+            # Spark turns adaptive execution off for stateful micro-batches, and the hint with it.
+            df = df.repartition(-(-row_count // ROWS_PER_FILE) or 1)
         (
             df.withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
@@ -197,6 +205,19 @@ class Warehouse:
             .select("batch_id", "before_date")
         )
 
+    def hidden_batches(self, table: str) -> DataFrame | None:
+        """``batch_id`` of the batches that rollbacks have undone, ``None`` where there were no rollbacks.
+
+        A batch that was written again since is visible and not among them.
+        """
+        log = self.commits(table).filter(F.col("action") != ROLLBACK)
+        spans = self._undone(self.commits(table))
+        if not spans:
+            return None
+        at = F.col("committed_at")
+        undone = reduce(or_, ((at > F.lit(after)) & (at <= F.lit(until)) for after, until in spans))
+        return log.filter(undone).select("batch_id")
+
     @staticmethod
     def _undone(log: DataFrame) -> list[tuple[datetime, datetime]]:
         """The spans of time that rollbacks undo.

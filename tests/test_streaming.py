@@ -18,9 +18,9 @@ from revwatch.schemas import (
     SILVER_TABLE,
 )
 from revwatch.sinks.landing import land_stream
-from revwatch.sinks.warehouse import Warehouse
+from revwatch.sinks.warehouse import Warehouse, utc_now
 from revwatch.sources.allowlist import default_allowlist
-from revwatch.sources.layers import follow_silver
+from revwatch.sources.layers import follow_bronze, follow_silver
 from revwatch.streaming.pipeline import (
     await_all,
     start,
@@ -257,3 +257,41 @@ def test_no_gate_and_custom_gate(spark, lake, tmp_path):
     start_bronze(queue(spark, folder), lake, f"{tmp_path}/a", gate=None, once=True, now=F.col("timestamp")).awaitTermination()
     start_bronze(queue(spark, folder), lake, f"{tmp_path}/b", gate=bronze_gate(suite=False), once=True, now=F.col("timestamp")).awaitTermination()
     assert (lake.read(BRONZE_TABLE).count(), lake.read("bronze_quarantine").count()) == (1, 1)
+
+
+def test_streams_pass_over_batches_that_were_rolled_back(spark, lake, tmp_path):
+    folder = f"{tmp_path}/queue"
+    put(spark, folder, [message(1, 0)])
+    bronze_run(spark, lake, folder, tmp_path)
+    assert lake.hidden_batches(BRONZE_TABLE) is None
+    moment = utc_now()
+    put(spark, folder, [message(2, 1), message(3, 2)])
+    bronze_run(spark, lake, folder, tmp_path)
+    lake.rollback(BRONZE_TABLE, moment)
+    put(spark, folder, [message(4, 3)])
+    bronze_run(spark, lake, folder, tmp_path)
+    assert lake.hidden_batches(BRONZE_TABLE).count() == 1
+    silver_run(lake, tmp_path)
+    assert {row.meta_id for row in lake.read(SILVER_TABLE).collect()} == {"m1", "m4"}
+
+    # A later rollback hides what came after its own moment, whatever was hidden before.
+    lake.rollback(BRONZE_TABLE, utc_now() - dt.timedelta(days=1))
+    assert lake.hidden_batches(BRONZE_TABLE).count() == 3
+    lake.rollback(BRONZE_TABLE, moment + dt.timedelta(microseconds=1))
+    assert lake.hidden_batches(BRONZE_TABLE).count() == 2
+    rows = follow_bronze(spark, lake.root)
+    seen = []
+    start(rows, lambda batch, _: seen.extend(r.kafka_offset for r in batch.collect()), f"{tmp_path}/cp/again", "0 seconds", "again", once=True).awaitTermination()
+    assert seen == [1]
+
+
+def test_a_small_stateful_batch_is_one_file(spark, lake, tmp_path):
+    folder = f"{tmp_path}/queue"
+    put(spark, folder, [message(i, i) for i in range(40)])
+    put(spark, folder, [message(i, i) for i in range(40, 80)])
+    bronze_run(spark, lake, folder, tmp_path)
+    silver_run(lake, tmp_path)
+    # Files that streams take up one by one must not be parts of a batch: their rows would come too late.
+    stored = spark.read.parquet(lake.path(SILVER_TABLE)).select("batch_id", "_metadata.file_path")
+    stored = stored.groupBy("batch_id").agg(F.count("*").alias("rows"), F.countDistinct("file_path").alias("files"))
+    assert [(row.rows, row.files) for row in stored.collect()] == [(40, 1), (40, 1)]
