@@ -78,28 +78,39 @@ FAULTS = (
 )
 
 
+#: Rows of a file that a stream follows, about.
+ROWS_PER_FILE = 200_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def follow_events(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
-    """The ``events`` table as a stream of files, one to a trigger, in order of arrival.
+def follow_events(spark: SparkSession, sf_dir: str, shares: int = 3) -> DataFrame:
+    """The ``events`` table as a stream, one share of its time to a trigger, in order of arrival.
 
-    A last file brings the rows of the first once more: they are older than the watermark
-    by then, so a stream has to drop them as late.
+    The last share brings the rows of the first once more: they are older than the watermark
+    by then, so a stream has to drop them as late. All shares have the same number of files,
+    which grows with the table, and a trigger takes so many: of a share cut in two, the second
+    part would come after the watermark that the first part moved.
     """
     events = table(spark, sf_dir, "events")
     seconds = (F.expr(RECORD_COLUMNS[name].format(epoch=SPARK_EPOCH)) for name in ("event_timestamp", "lag_s"))
     arrived = events.withColumn("_arrival", next(seconds) + next(seconds))
-    shares = [i / files for i in range(1, files)]
-    cuts = arrived.agg(F.percentile_approx("_arrival", shares)).first()[0] or []
-    bounds = [None, *cuts, None]
+    places = [i / shares for i in range(1, shares)]
+    rows, cuts = arrived.agg(F.count("*"), F.percentile_approx("_arrival", places)).first()
+    files = -(-rows // (shares * ROWS_PER_FILE)) or 1
+    bounds = [None, *(cuts or []), None]
     folder = shared_folder(spark, "event-files")
-    for low, high in [*zip(bounds, bounds[1:]), (None, bounds[1])]:
+    followed = spark.read.schema(events.schema)
+    for share, (low, high) in enumerate([*zip(bounds, bounds[1:]), (None, bounds[1])], 1):
         part = arrived if low is None else arrived.where(F.col("_arrival") > low)
         part = part if high is None else part.where(F.col("_arrival") <= high)
-        part.drop("_arrival").write.mode("append").parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        part.drop("_arrival").repartition(files).write.mode("append").parquet(folder)
+        # A task without rows leaves no file.
+        for _ in range(share * files - len(followed.parquet(folder).inputFiles())):
+            events.limit(0).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def edit_records(events: DataFrame) -> DataFrame:

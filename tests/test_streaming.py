@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_silver import record
 
+from revwatch.catalogue import records
 from revwatch.operators.gold import entity_metrics, global_metrics, user_metrics
 from revwatch.operators.quality import bronze_gate, silver_gate
 from revwatch.operators.silver import bronze_to_silver, drop_replays
@@ -295,3 +296,21 @@ def test_a_small_stateful_batch_is_one_file(spark, lake, tmp_path):
     stored = spark.read.parquet(lake.path(SILVER_TABLE)).select("batch_id", "_metadata.file_path")
     stored = stored.groupBy("batch_id").agg(F.count("*").alias("rows"), F.countDistinct("file_path").alias("files"))
     assert [(row.rows, row.files) for row in stored.collect()] == [(40, 1), (40, 1)]
+
+
+@pytest.mark.parametrize("rows_per_file, few", [(20, False), (1, True)])
+def test_followed_events_come_share_by_share(spark, tmp_path, monkeypatch, rows_per_file, few):
+    """Whatever the number of files, a trigger takes one share of time, and all of it."""
+    monkeypatch.setattr(records, "ROWS_PER_FILE", rows_per_file)
+    first = dt.datetime(2024, 1, 1)
+    rows = [(i, first + dt.timedelta(minutes=0 if few and i < 8 else 10 * i), i % 5, "view", 1.0, "{}") for i in range(9 if few else 600)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    events.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    batches = []
+    taken = records.edit_records(records.follow_events(spark, str(tmp_path))).select("rid", F.unix_timestamp("ingestion_timestamp").alias("at"))
+    start(taken, lambda batch, number: batches.append(batch.collect()), f"{tmp_path}/cp", "0 seconds", "shares", once=True).awaitTermination()
+    assert len(batches) == 4
+    assert sorted(r.rid for b in batches[:3] for r in b) == list(range(len(rows)))
+    assert sorted(batches[3]) == sorted(batches[0])
+    for earlier, later in zip(batches[:3], batches[1:3]):
+        assert not earlier or not later or max(r.at for r in earlier) < min(r.at for r in later)
