@@ -131,6 +131,15 @@ def _own_grams(text: Column) -> Column:
     return F.coalesce(_grams(text, GRAM), F.array(text))
 
 
+def _meet(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that shuffles both sides, whatever Spark takes their sizes to be.
+
+    It sizes a side by the files below it: compressed, and before texts are exploded into
+    grams. That is small enough for a broadcast where the rows are a thousand times as much.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def _rarest_gram(texts: DataFrame, text: str, grams: DataFrame) -> DataFrame:
     """Give each of ``texts`` its one own gram that the fewest others share.
 
@@ -141,13 +150,13 @@ def _rarest_gram(texts: DataFrame, text: str, grams: DataFrame) -> DataFrame:
     sharing = grams.groupBy("_w", "_gram").agg(F.count("*").alias("_sharing"))
     own = texts.select("_w", text, F.explode(_own_grams(F.col(text))).alias("_gram"))
     rarest = (
-        own.join(sharing, ["_w", "_gram"], "left")
+        _meet(own, sharing, ["_w", "_gram"], "left")
         .groupBy("_w", text)
         .agg(F.min(F.struct(F.coalesce("_sharing", F.lit(0)).alias("n"), "_gram")).alias("_least"))
         .filter("_least.n > 0")
         .select("_w", text, F.col("_least._gram").alias("_gram"))
     )
-    return texts.join(rarest, ["_w", text])
+    return _meet(texts, rarest, ["_w", text])
 
 
 def _match_by_grams(
@@ -179,7 +188,7 @@ def _match_by_grams(
     spelled = names.select("_w", "_n").distinct()
 
     def verified(left: DataFrame, right: DataFrame) -> DataFrame:
-        hits = left.join(right, ["_w", "_gram"])
+        hits = _meet(left, right, ["_w", "_gram"])
         return hits.filter(contains_either_way(F.col("_n"), F.col("needle"))).select("_w", "_n", "_r")
 
     # The title contains the needle: every gram of the needle is one of the title.
@@ -189,30 +198,27 @@ def _match_by_grams(
     # The needle contains the title. A short title is itself a gram, so the best
     # needle per gram decides; a longer one is compared with those that share its rarest gram.
     of_needles = best.withColumn("_gram", F.explode(_grams_up_to(F.col("needle"), GRAM)))
-    short = (
-        spelled.filter(F.length("_n").between(1, GRAM - 1))
-        .withColumn("_gram", F.col("_n"))
-        .join(of_needles.groupBy("_w", "_gram").agg(F.min("_r").alias("_r")), ["_w", "_gram"])
-        .select("_w", "_n", "_r")
-    )
+    short_titles = spelled.filter(F.length("_n").between(1, GRAM - 1)).withColumn("_gram", F.col("_n"))
+    per_gram = of_needles.groupBy("_w", "_gram").agg(F.min("_r").alias("_r"))
+    short = _meet(short_titles, per_gram, ["_w", "_gram"]).select("_w", "_n", "_r")
     long_titles = spelled.filter(F.length("_n") >= GRAM)
     around = verified(_rarest_gram(long_titles, "_n", of_needles), of_needles)
 
     # An empty text is contained in everything of its wiki. Only empty titles, and wikis
     # that list an empty needle, take part.
     of_wiki = best.groupBy("_w").agg(F.min("_r").alias("_r"))
-    empty = spelled.filter("_n = ''").join(of_wiki, "_w").select("_w", "_n", "_r")
+    empty = _meet(spelled.filter("_n = ''"), of_wiki, "_w").select("_w", "_n", "_r")
     listed = best.filter("needle = ''").select("_w", "_r")
-    blank = spelled.filter("_n <> ''").join(listed, "_w").select("_w", "_n", "_r").unionByName(empty)
+    blank = _meet(spelled.filter("_n <> ''"), listed, "_w").select("_w", "_n", "_r").unionByName(empty)
 
     loose = inside.unionByName(short).unionByName(around).unionByName(blank)
     by_spelling = loose.groupBy("_w", "_n").agg(F.min("_r").alias("_loose"))
+    by_title = exact.groupBy("_w", "_t").agg(F.min("_r").alias("_exact"))
     matched = (
-        names.join(by_spelling, ["_w", "_n"], "left")
-        .join(exact.groupBy("_w", "_t").agg(F.min("_r").alias("_exact")), ["_w", "_t"], "left")
+        _meet(_meet(names, by_spelling, ["_w", "_n"], "left"), by_title, ["_w", "_t"], "left")
         .withColumn("_best", F.coalesce("_exact", "_loose"))
         .filter("_best IS NOT NULL")
         .select("_w", "_t", F.col("_best.canonical").alias(output))
     )
     same = (F.col(wiki) == F.col("_w")) & (F.col(title) == F.col("_t"))
-    return df.join(matched, same, "left").drop("_w", "_t")
+    return _meet(df, matched, same, "left").drop("_w", "_t")

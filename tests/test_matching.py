@@ -115,3 +115,17 @@ def test_plan_choice_by_length(spark, monkeypatch):
     assert "strategy=broadcast" not in plan(match_entity(frame, listed, strategy="grams"))
     with pytest.raises(ValueError):
         match_entity(frame, allowlist_frame(spark, listed), strategy="broadcast")
+
+
+def test_shuffled_plan_broadcasts_nothing(spark, tmp_path):
+    """Neither as planned, where exploded grams look as small as their file, nor as run."""
+    titles = spark.range(200).selectExpr("'enwiki' AS wiki", "concat('A rather long title, number ', id) AS title")
+    titles.write.parquet(f"{tmp_path}/titles")
+    stored = spark.read.parquet(f"{tmp_path}/titles")
+    listed = stored.where("title LIKE '%7'").selectExpr("wiki", "title AS raw", "0 AS kind", "0 AS position", "title AS canonical")
+    matched = match_entity(stored, listed.withColumn("needle", normalize_title(F.col("raw"))))
+    assert matched.where("canonical_entity = title").count() == 20
+    executed = matched._jdf.queryExecution().executedPlan()
+    assert "Broadcast" not in executed.toString()
+    matched.collect()
+    assert "Broadcast" not in executed.toString()
