@@ -59,10 +59,9 @@ def shredded(bronze: DataFrame) -> DataFrame:
     Stored as Parquet the members become columns of their own, and a reader that asks for
     some paths reads these.
     """
-    found = F.try_parse_json("event_data")
-    parsed = computed_once(bronze, {"_json": found})
-    is_object = F.startswith(F.schema_of_variant("_json"), F.lit("OBJECT"))
-    return parsed.withColumn("event", F.when(is_object, F.col("_json"))).drop("_json")
+    # Of valid JSON the first character tells; a whole object's schema is long to write out.
+    is_object = F.startswith(F.btrim("event_data", F.lit(text.JSON_SPACES)), F.lit("{"))
+    return bronze.withColumn("event", F.when(is_object, F.try_parse_json("event_data")))
 
 
 def _member_type(path: str) -> T.DataType:

@@ -70,3 +70,11 @@ def test_streams_over_the_shredded_table(spark, tmp_path):
         lakes[shred] = rows(lake.read(SILVER_TABLE))
     assert len(lakes[True]) == 6 and lakes[True] == lakes[False]
     assert Warehouse(spark, f"{tmp_path}/lake-True").read(SHREDDED_TABLE).where(F.col("ingestion_timestamp") >= F.lit(START)).count() == 6
+
+
+def test_objects_are_told_apart_without_their_schema(spark):
+    texts = ['{"id": 1}', ' \t\r\n{"id": 2}', "[1]", '"{"', "{", "", " ", "null", "7", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, event_data string")
+    found = silver.shredded(rows)
+    assert "schemaofvariant" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted(r.n for r in found.where("event IS NOT NULL").collect()) == [0, 1]
