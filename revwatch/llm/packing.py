@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +34,13 @@ END_ID = 1
 #: Words whose ids a worker keeps (about 200 bytes each); a full store is emptied.
 CACHED_WORDS = 500_000
 #: Words that are looked up together.
-GROUP_WORDS = 4_000
+GROUP_WORDS = 1_000_000
+WORD_BYTES = 6  # about
 _SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python alone
 _MARK_AFTER_MARK = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+#: Texts, some more among them, whose words are not found by lower-casing, replacing and splitting
+#: at ASCII white space; for Arrow, where classes like \s are ASCII.
+_ODD = r"[\x1c-\x1f\x{85}\x{a0}]|[^\x{00}-\x{ff}]|<\||[^\pL\pN\t\n\f\r ][.,][\t-\r ]"
 
 Bins = list[tuple[int, list[tuple[int, int]]]]  # (how many such bins, [(length, pieces of it in each bin)])
 
@@ -90,31 +95,57 @@ class WordTokens:
             coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             known.update(zip(some, [array("I", c.ids).tobytes() for c in coded], strict=True))
 
-    def _ids(self, words: list[str]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words))
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        group: list[list[str]] = []
-        size = 0
-        for text in texts:
-            words = self.words(text)
-            if group and size + len(words) > GROUP_WORDS:
-                self._know(set().union(*group))
-                yield from map(self._ids, group)
-                group, size = [], 0
-            if len(words) > GROUP_WORDS:
-                out = []
-                for at in range(0, len(words), GROUP_WORDS):
-                    some = words[at : at + GROUP_WORDS]
-                    self._know(set(some))
-                    out.append(self._ids(some))
-                yield b"".join(out)
-                continue
-            group.append(words)
-            size += len(words)
-        self._know(set().union(*group))
-        yield from map(self._ids, group)
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after another, and where each word's ids end."""
+        ids, ends, before = [], [], 0
+        for at in range(0, len(words), GROUP_WORDS):
+            coded = words.slice(at, GROUP_WORDS).dictionary_encode()
+            different = coded.dictionary.to_pylist()
+            self._know(set(different))
+            own = list(map(self.known.__getitem__, different))
+            sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+            starts = np.cumsum(sizes) - sizes
+            places = coded.indices.to_numpy()
+            sizes = sizes[places]
+            end = np.cumsum(sizes)
+            from_start = np.repeat(starts[places] - (end - sizes), sizes)
+            ids.append(np.frombuffer(b"".join(own), "<u4")[from_start + np.arange(len(from_start))])
+            ends.append(end + before)
+            before += len(from_start)
+        return np.concatenate([np.empty(0, "<u4"), *ids]), np.concatenate([np.zeros(1, np.int64), *ends])
+
+    def _texts_ids(self, lists: pa.ListArray) -> Iterator[bytes]:
+        """Ids of texts, given as lists of their words."""
+        ids, ends = self._ids(lists.flatten())
+        words = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
+        places = ends[words].tolist()
+        return (ids[a:b].tobytes() for a, b in zip(places, places[1:]))
+
+    def _group(self, texts: pa.Array) -> Iterator[bytes]:
+        odd = pc.match_substring_regex(texts, _ODD)
+        plain = pc.utf8_lower(texts.filter(pc.invert(odd)))
+        for mark, apart in (("\n", " "), (". ", " . "), (", ", " , ")):
+            plain = pc.replace_substring(plain, mark, apart)
+        of_plain = self._texts_ids(pc.ascii_split_whitespace(plain))
+        others = [self.words(text) for text in texts.filter(odd).to_pylist()]
+        of_others = self._texts_ids(pa.array(others, pa.list_(pa.string())))
+        return (next(of_others if own else of_plain) for own in odd.to_pylist())
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text; a null text has none.
+
+        Texts are taken in groups of about ``GROUP_WORDS`` words, whose different words are
+        looked up once. Arrow does for plain texts what :meth:`words` does for the others.
+        """
+        column = texts if isinstance(texts, pa.Array) else pa.array(list(texts), pa.string())
+        column = pc.fill_null(column, "")
+        first = size = 0
+        for row, own in enumerate(pc.binary_length(column).to_pylist()):
+            if row > first and size + own > WORD_BYTES * GROUP_WORDS:
+                yield from self._group(column.slice(first, row - first))
+                first, size = row, 0
+            size += own
+        yield from self._group(column.slice(first))
 
 
 @lru_cache(maxsize=2)
@@ -140,8 +171,7 @@ def tokenized_pieces(
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows, out = [], []
-            texts = (t.as_py() or "" for t in batch.column("text"))
-            for row, ids in enumerate(tokens.encode(texts)):
+            for row, ids in enumerate(tokens.encode(batch.column("text"))):
                 data = ids + tail
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at : at + 4 * capacity]

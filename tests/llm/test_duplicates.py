@@ -359,6 +359,16 @@ def test_ids_by_words_are_those_of_whole_texts(monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_texts_are_taken_apart_by_arrow(monkeypatch):
+    tokens, seen, own = packing.WordTokens(TOKENIZER), [], packing.WordTokens.words
+    monkeypatch.setattr(packing.WordTokens, "words", staticmethod(lambda text: seen.append(text) or own(text)))
+    texts = ["  Ça va. Été, \n\n12.5 (x)", "日本", None, "", "a b\x0bc"]
+    found = list(tokens.encode(texts))
+    assert seen == ["日本"] and len(found) == len(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokens.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
 def packed_rows(edges):
     r = random.Random(13)
     return edges + [(100 + i, prose(r, r.choice([1, 5, 30, 200, 900]))) for i in range(120)]
