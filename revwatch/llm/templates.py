@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revwatch.functions.columns import computed_once
-from revwatch.llm.common import WORD_GAP, text_of, words_of, written
+from revwatch.llm.common import WORD_GAP, text_of, written
 from revwatch.llm.copies import held_by_more, shingles, sketch
 
 DEPTH = 3  # leading tokens
@@ -26,6 +26,7 @@ LIMIT = 10
 MIN_CONSTANT = 0.5
 VARIABLE = "<*>"
 _DIGITS = r"[^ ]*[0-9][^ ]*"
+_DIGITS_OF_LINES = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*"
 
 
 def normalised(line: Column) -> Column:
@@ -36,17 +37,36 @@ def normalised(line: Column) -> Column:
 
 def _leaf(tokens: Column) -> Column:
     """Number of tokens and the leading ones; the root's children are the numbers."""
-    return F.xxhash64(F.length(tokens) - F.length(F.replace(tokens, F.lit(" "), F.lit(""))), F.substring_index(tokens, " ", DEPTH))
+    return F.xxhash64(F.octet_length(tokens) - F.octet_length(F.replace(tokens, F.lit(" "), F.lit(""))), F.substring_index(tokens, " ", DEPTH))
 
 
-def _line(line: Column) -> Column:
-    own = normalised(line)
-    return F.transform(
-        F.array(own),
-        lambda t: F.struct(
-            F.when(t != "", _leaf(t)).alias("leaf"), F.when(t != "", F.xxhash64(t)).alias("hash")
-        ),
-    )[0]
+def _with_lines(texts: DataFrame) -> DataFrame:
+    """Adds the words' hashes and, per line, ``lines`` (leaf, hash) of :func:`normalised`, from ``text``.
+
+    A whole text is normalised at once, and split at single characters, which needs no pattern.
+    """
+
+    def hashed(line: Column) -> Column:
+        return F.transform(
+            F.array(F.btrim(line)),
+            lambda t: F.struct(
+                F.when(t != "", _leaf(t)).alias("leaf"), F.when(t != "", F.xxhash64(t)).alias("hash")
+            ),
+        )[0]
+
+    # Few texts have digits or other blanks; all that are read once for them.
+    rare, text = F.col("t_rare"), text_of()
+    looked = computed_once(texts, {"t_rare": text.rlike("[0-9\t\x0b\f\r]")})
+    spaced = computed_once(looked, {"t_spaced": F.when(rare, F.regexp_replace(text, "[\t\x0b\f\r]", " ")).otherwise(text)})
+    plain = F.col("t_spaced")
+    single = F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain)
+    masked = F.when(rare, F.regexp_replace(F.lower(single), _DIGITS_OF_LINES, VARIABLE)).otherwise(F.lower(single))
+    words = F.array_remove(F.split(F.replace(plain, F.lit("\n"), F.lit(" ")), " "), "")
+    found = {
+        "lines": F.transform(F.split(masked, "\n"), hashed),
+        "word_hashes": F.transform(words, lambda w: F.xxhash64(w)),
+    }
+    return computed_once(spaced, found).drop("t_rare", "t_spaced")
 
 
 def find_templates(base: DataFrame, limit: int, fanout: int, min_constant: float) -> DataFrame:
@@ -114,13 +134,17 @@ def drop_templates(
     Other columns are ignored.
     """
     kept = [c for c in carry if c not in ("doc_id", "text")]
-    wanted = docs.select("doc_id", *(F.col(c).alias(f"carry_{c}") for c in kept), F.col("text").alias("raw"), text_of().alias("text"))
-    worded = computed_once(wanted, {"t_words": words_of(F.col("text"))})
-    hashed = computed_once(worded, {"t_hash": F.transform("t_words", lambda w: F.xxhash64(w))}).drop("t_words")
-    shingled = computed_once(hashed, {"t_shingles": shingles(F.col("t_hash"))})
-    sketched = shingled.select(*wanted.columns, F.xxhash64("text").alias("copy"), sketch(F.col("t_shingles")).alias("sketch"))
-    lined = sketched.withColumn("lines", F.transform(F.split("text", "\n"), _line)).withColumn("row", F.monotonically_increasing_id())
-    base = written(lined.drop("text").withColumnRenamed("raw", "text"), "template-base")
+    wanted = docs.select("doc_id", *(F.col(c).alias(f"carry_{c}") for c in kept), "text")
+    base = written(
+        _with_lines(wanted).select(
+            *wanted.columns,
+            F.xxhash64(text_of()).alias("copy"),
+            sketch(shingles(F.col("word_hashes"))).alias("sketch"),
+            "lines",
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "template-base",
+    )
     dropped = written(find_templates(base, limit, fanout, min_constant), "template-drops")
     cut = (
         base.select("row", F.inline(F.array_distinct("lines")))

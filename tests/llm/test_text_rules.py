@@ -7,8 +7,10 @@ from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from revwatch.llm import decontaminate, quality, secrets, templates
+from revwatch.llm.common import text_of, words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -245,6 +247,25 @@ def template_rows():
     return rows
 
 
+def test_whole_texts_are_normalised_as_their_lines_are(frame, edges):
+    r = random.Random(31)
+    letters = "aAbÉΣσİßΔ09 3   \t\x0b\f\r\n\n\x85\xa0\x1c .-<*>$\\日"
+    rows = [*edges, *((i, "".join(r.choice(letters) for _ in range(r.randint(0, 60)))) for i in range(2000))]
+    line = templates.normalised(F.col("line"))
+    found = templates._with_lines(frame(rows).select(text_of().alias("text")))
+    same = found.select(
+        "word_hashes",
+        F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
+        F.posexplode(F.split("text", "\n")).alias("place", "line"),
+        "lines",
+    ).select(
+        F.col("word_hashes").eqNullSafe(F.col("words")).alias("words"),
+        F.get("lines", "place")["hash"].eqNullSafe(F.when(line != "", F.xxhash64(line))).alias("hash"),
+        F.get("lines", "place")["leaf"].eqNullSafe(F.when(line != "", templates._leaf(line))).alias("leaf"),
+    )
+    assert [tuple(x) for x in same.distinct().collect()] == [(True, True, True)]
+
+
 def test_templates_equal_brute_force(frame, edges):
     rows = template_rows() + edges
     found = templates.drop_templates(frame(rows)).collect()
